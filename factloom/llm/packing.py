@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ END_ID = 2
 #: Remainders held by a task before windows are filled from them.
 BLOCK = 2048
 #: Words whose ids a task remembers; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 TOKEN_SLICE = 6_000_000
 
 
@@ -58,6 +60,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.marks = {m: array("H", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,"}
 
     def ids(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, as uint16, and each text's offsets into them."""
@@ -70,10 +73,12 @@ class WordTokenizer:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        new = list({w for w in words if w not in known})
+        # a full stop or comma after a letter is a token of its own: the word is looked up without it
+        stems = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words]
+        new = list({w for w in stems if w not in known})
         for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype=np.uint16).tobytes()
-        found = [known[w] for w in words]
+            known[w] = array("H", e.ids).tobytes()
+        found = [known[s] if len(s) == len(w) else known[s] + self.marks[w[-1]] for s, w in zip(stems, words, strict=True)]
         store = np.frombuffer(b"".join(found), dtype=np.uint16)
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
         begin = np.cumsum(size) - size
@@ -84,6 +89,12 @@ class WordTokenizer:
         return ids, np.concatenate([[0], ends])[offsets]
 
 
+@cache
+def coder(path: str) -> WordTokenizer:
+    """One tokenizer per Python worker: what it remembers serves later tasks too."""
+    return WordTokenizer(path)
+
+
 def fill_window(counts: dict[int, int], capacity: int) -> tuple[dict[int, int], int]:
     """The multiset of lengths (with counts) closest to capacity that holds the largest length, and its slack."""
     seed = max(counts)
@@ -189,7 +200,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokenizer(tokenizer or tokenizer_file())
+        tokens = coder(tokenizer or tokenizer_file())
         rows: list[tuple] = []
 
         def emit(piece, start, length, sequence, offset):
@@ -205,7 +216,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         packer = Packer(emit, capacity, first_sequence=TaskContext.get().partitionId() << 40)
         for b in slices(batches, "text", TOKEN_SLICE):
             id_type = column(b, "doc_id").type
-            ids, offsets = coder.ids(column(b, "text"))
+            ids, offsets = tokens.ids(column(b, "text"))
             for k, doc_id in enumerate(column(b, "doc_id").to_pylist()):
                 own = np.append(ids[offsets[k] : offsets[k + 1]], np.uint16(end_id))
                 packer.add((doc_id, own), len(own))
