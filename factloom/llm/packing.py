@@ -38,7 +38,10 @@ END_ID = 2
 BLOCK = 2048
 #: Words whose ids a task remembers; then it starts anew.
 REMEMBERED = 700_000
-TOKEN_SLICE = 6_000_000
+TOKEN_SLICE = 8_000_000
+#: Words encoded in one call, and the mark of a word's last token in the vocabulary.
+TOGETHER = 256
+WORD_END = "</w>"
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -60,8 +63,29 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.is_end = np.zeros(1 << 16, bool)
+        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self.marks = {m: array("H", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,"}
 
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, as bytes of uint16. Words of letters are encoded many at a time, as each gives one word end."""
+        out = {}
+        plain, rest = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        for lo in range(0, len(plain), TOGETHER):
+            part = plain[lo : lo + TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=np.uint16)
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):  # some letter falls apart when it is normalised
+                rest += part
+                continue
+            data, at = ids.tobytes(), 0
+            for w, end in zip(part, (2 * ends).tolist(), strict=True):
+                out[w] = data[at:end]
+                at = end
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[w] = array("H", e.ids).tobytes()
+        return out
+
     def ids(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, as uint16, and each text's offsets into them."""
         flat, offsets = words_of(text)
@@ -75,10 +99,10 @@ class WordTokenizer:
         known = self.known
         # a full stop or comma after a letter is a token of its own: the word is looked up without it
         stems = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words]
-        new = list({w for w in stems if w not in known})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = array("H", e.ids).tobytes()
-        found = [known[s] if len(s) == len(w) else known[s] + self.marks[w[-1]] for s, w in zip(stems, words, strict=True)]
+        got = list(map(known.get, stems))
+        known.update(self.encode(list({s for s, g in zip(stems, got, strict=True) if g is None})))
+        found = [g or known[s] for s, g in zip(stems, got, strict=True)]
+        found = [g if len(s) == len(w) else g + self.marks[w[-1]] for s, g, w in zip(stems, found, words, strict=True)]
         store = np.frombuffer(b"".join(found), dtype=np.uint16)
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
         begin = np.cumsum(size) - size
