@@ -112,7 +112,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def hash_strings(values: pa.Array) -> np.ndarray:
-    """XXH64 of every string, as unsigned 64-bit numbers."""
-    import xxhash
-
-    return np.fromiter((xxhash.xxh64_intdigest(v) for v in values.to_pylist()), dtype=np.uint64, count=len(values))
+    """A 64-bit hash of every string: a polynomial over its bytes and its length, mixed."""
+    data = values.cast(pa.large_binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    size = np.diff(offsets)
+    out = mix64(size.astype(np.uint64) + np.uint64(0x51ED270B))
+    full = np.flatnonzero(size)
+    if len(full):
+        raw = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        begin = offsets[:-1] - offsets[0]
+        power = np.full(int(size.max()), 0x9FB21C651E98DF25, np.uint64)
+        power[0] = 1
+        power = np.cumprod(power, dtype=np.uint64)
+        inner = np.arange(len(raw)) - np.repeat(begin, size)
+        out[full] = mix64(out[full] ^ np.add.reduceat((raw + np.uint64(1)) * power[inner], begin[full]))
+    return out

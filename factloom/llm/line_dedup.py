@@ -175,6 +175,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialize(rows.withColumnRenamed("gram_from", "from").withColumnRenamed("gram_to", "to"), "winnow-grams")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"), F.col("from"))
     first = rows.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("gram", "first")
+    first = materialize(first, "winnow-first")  # a table of its own, so that the join's skew can be split
     later = rows.join(first, "gram").where(place != F.col("first"))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
 
