@@ -16,6 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 3_000_000
 
 
+#: Rows that Spark hands to a Python worker at once; with whole texts in them, its default of 10,000 takes much memory.
+BATCH_ROWS = 2000
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` over small batches."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, read by Spark alone (the path may be any Hadoop file system)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

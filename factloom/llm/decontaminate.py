@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, slices, table
+from ._shared import column, map_arrow, slices, table
 
 Q = 10
 EDIT_RATE = 0.05
@@ -215,7 +215,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         names = [f"c{k}" for k in range(len(docs.columns))] + ["_old", "_new"]
         src = out.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)], F.col("_spans").alias("_old"), F.col(text_col).alias("_text"))
         schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[: len(docs.columns)]), f"_old {SPANS}", f"_new {SPANS}"])
-        got = src.mapInArrow(run, schema)
+        got = map_arrow(src, run, schema)
         out = got.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)], F.array_sort(F.concat("_old", "_new")).alias("_spans"))
     return out
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, slices, table
+from ._shared import column, map_arrow, slices, table
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -173,7 +173,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", ord
     chosen = keyed.orderBy("key", "id").limit(max_documents).select(F.col("id").alias("chosen_id"), "key")
     small = F.broadcast(chosen.distinct())
     texts = labelled.select(F.col(order_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text is not null and lang is not null")
-    rows = texts.join(small, texts["id"] == F.col("chosen_id")).select("lang", "key", "text").mapInArrow(run, "lang string, key long, bytes binary").collect()
+    rows = map_arrow(texts.join(small, texts["id"] == F.col("chosen_id")).select("lang", "key", "text"), run, "lang string, key long, bytes binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.key, r.lang, bytes(r.bytes)))
@@ -194,7 +194,7 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
             labels, scores = predict(shared.value, column(b, "text"))
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(labels, pa.string()), pa.array(scores.astype(np.float64))], ["doc_id", "lang_pred", "score"])
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return map_arrow(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, hash_strings, materialize, mix64, segment_ids, slices, table, words_of
+from ._shared import column, hash_strings, map_arrow, materialize, mix64, segment_ids, slices, table, words_of
 
 GRAM_WORDS = 16
 RUN_WORDS = 32
@@ -164,18 +164,19 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             arrays = [lists(g, b.num_rows, every, n, k) for n, k in (("hash", pa.int64()), ("from", pa.int32()), ("to", pa.int32()))]
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "text_hash"), *arrays], ["doc_id", "text_hash", "gram", "gram_from", "gram_to"])
 
-    found = materialize(src.mapInArrow(prints, f"doc_id {kind}, text_hash int, print long"), "winnow")
-    shared = found.groupBy("print").count().where("count > 1").select("print")
+    found = materialize(map_arrow(src, prints, f"doc_id {kind}, text_hash int, print long"), "winnow")
+    # tables of their own on one side of the joins, so that the skew of the other side can be split
+    shared = materialize(found.groupBy("print").count().where("count > 1").select("print"), "winnow-shared")
     candidates = found.join(shared, "print", "left_semi").select("doc_id", "text_hash").distinct()
     candidates = materialize(candidates, "winnow-candidates")
-    every = src.mapInArrow(grams, f"doc_id {kind}, text_hash int, gram array<long>, gram_from array<int>, gram_to array<int>").where(F.size("gram") > 0)
+    every = map_arrow(src, grams, f"doc_id {kind}, text_hash int, gram array<long>, gram_from array<int>, gram_to array<int>").where(F.size("gram") > 0)
     c = candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"))
     own = every.join(c, every["doc_id"].eqNullSafe(c["c_id"]) & (every["text_hash"] == c["c_hash"]), "left_semi")
     rows = own.select("doc_id", "text_hash", F.inline(F.arrays_zip("gram", "gram_from", "gram_to")))
     rows = materialize(rows.withColumnRenamed("gram_from", "from").withColumnRenamed("gram_to", "to"), "winnow-grams")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"), F.col("from"))
     first = rows.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("gram", "first")
-    first = materialize(first, "winnow-first")  # a table of its own, so that the join's skew can be split
+    first = materialize(first, "winnow-first")
     later = rows.join(first, "gram").where(place != F.col("first"))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
 
@@ -185,19 +186,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = repeated_ranges(docs, id_col, text_col, gram_words, run_words)
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("ranges").alias("_ranges"))
 
-    @F.pandas_udf("struct<text: string, runs: array<struct<`from`: int, `to`: int>>>")
-    def delete(text, ranges):
-        import pandas as pd
-
+    @F.arrow_udf("struct<text: string, runs: array<struct<`from`: int, `to`: int>>>")
+    def delete(text: pa.Array, ranges: pa.Array) -> pa.Array:
+        kind = pa.struct([("text", pa.string()), ("runs", pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))])
         out = []
         for t, r in zip(text, ranges, strict=True):
-            if t is None or r is None:
-                out.append((None, None))
+            if not t.is_valid or not r.is_valid:
+                out.append({"text": None, "runs": None})
                 continue
-            runs = merge_ranges([(int(x["from"]), int(x["to"])) for x in r], run_words)
-            out.append((without(t, runs), [{"from": a, "to": b} for a, b in runs]))
-        return pd.DataFrame(out, columns=["text", "runs"])
+            runs = merge_ranges([(x["from"], x["to"]) for x in r.as_py()], run_words)
+            out.append({"text": without(t.as_py(), runs) if runs else None, "runs": [{"from": a, "to": b} for a, b in runs]})
+        return pa.array(out, kind)
 
+    delete = delete.asNondeterministic()  # or Spark may evaluate it once for each use of its result
     joined = docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (F.hash(docs[text_col]) == found["_hash"]), "left")
     touched = F.when(F.col("_ranges").isNotNull(), F.col(text_col))
     cut = joined.withColumn("_cut", delete(touched, F.col("_ranges")))

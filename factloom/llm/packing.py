@@ -30,14 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, slices, table, words_of
+from ._shared import column, map_arrow, slices, table, words_of
 
 CAPACITY = 4096
 END_ID = 2
 #: Remainders held by a task before windows are filled from them.
 BLOCK = 2048
 #: Words whose ids a task remembers; then it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 TOKEN_SLICE = 8_000_000
 #: Words encoded in one call, and the mark of a word's last token in the vocabulary.
 TOGETHER = 256
@@ -252,7 +252,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_arrow(src, run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, mix64, segment_ids, segment_sum, slices, table, words_of
+from ._shared import column, map_arrow, mix64, segment_ids, segment_sum, slices, table, words_of
 
 WINDOW = 3
 MIN_WORDS = 50
@@ -193,7 +193,7 @@ def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
     kinds = {f.name: f.dataType.simpleString() for f in src.schema}
     schema = ", ".join([f"doc_id {kinds['doc_id']}", *(f"{c} long" for c in COLUMNS), "base_failed boolean", "kept boolean", *(f"`{c}` {kinds[c]}" for c in kept)])
-    return src.mapInArrow(run, schema)
+    return map_arrow(src, run, schema)
 
 
 def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

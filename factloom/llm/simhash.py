@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, forget, materialize, slices, table, words_of
+from ._shared import column, forget, map_arrow, materialize, slices, table, words_of
 
 SEED = 42
 SHINGLE = 3
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "text_hash"), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
+    return map_arrow(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def _root(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -205,7 +205,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group_limit: int = GROUP_LIM
             small = F.broadcast(hot) if hot.count() <= 10_000 else hot
             rest = keyed.join(small, ["path", "value"], "left_semi").select("fp").distinct()
             keyed = keyed.join(small, ["path", "value"], "left_anti")
-        found = keyed.repartition("path", "value").sortWithinPartitions("path", "value").mapInArrow(run, "a long, b long")
+        found = map_arrow(keyed.repartition("path", "value").sortWithinPartitions("path", "value"), run, "a long, b long")
         out = found if out is None else out.unionByName(found)
         if hot is None:
             return out.distinct()

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, hash_strings, materialize, mix64, slices, table, words_of
+from ._shared import column, hash_strings, map_arrow, materialize, mix64, slices, table, words_of
 
 MAX_DOCUMENTS = 8000
 MAX_LEXICON = 2000
@@ -272,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # copies would count the same evidence many times: of rows that share a sketch value, one is counted
     kind = sample.schema["label_id"].dataType.simpleString()
     seen, single = set(), []
-    for r in sorted(sample.select("label_id", "text").mapInArrow(sketch, f"label_id {kind}, sketch array<long>").collect(), key=lambda r: str(r.label_id)):
+    for r in sorted(map_arrow(sample.select("label_id", "text"), sketch, f"label_id {kind}, sketch array<long>").collect(), key=lambda r: str(r.label_id)):
         if not seen.intersection(r.sketch):
             single.append((r.label_id,))
         seen.update(r.sketch)
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         seen[""] = [total[1], total[0]]
         yield out()
 
-    counts = evidence.mapInArrow(count, "word string, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = map_arrow(evidence, count, "word string, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     totals = counts.where("word = ''").first()
     toxic, clean = (totals.pos, totals.neg) if totals else (0, 0)
     if not toxic:
@@ -317,7 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             s = matches(column(b, "text"), lexicon, rules)
             yield pa.RecordBatch.from_arrays([column(b, "toxic"), pa.array(s.tolist(), pa.list_(pa.float64()))], ["toxic", "strength"])
 
-    rows = sample.select("toxic", "text").mapInArrow(measure, "toxic int, strength array<double>").collect()  # max_documents rows of 16 numbers
+    rows = map_arrow(sample.select("toxic", "text"), measure, "toxic int, strength array<double>").collect()  # max_documents rows of 16 numbers
     rows.sort()
     weights, bias = train_weights(np.array([r.strength for r in rows]), np.array([r.toxic for r in rows]))
     return Model(lexicon, weights, bias)
@@ -335,7 +335,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(m.score(s)), pa.array(s.sum(axis=1))], ["doc_id", "score", "strength"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, strength double")
+    return map_arrow(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, strength double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

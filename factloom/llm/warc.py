@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith
 from pyspark.sql.types import StructType
 
-from ._shared import column, scratch_path, slices, table
+from ._shared import column, map_arrow, scratch_path, slices, table
 
 VERSION = "WARC/1.1"
 #: Payloads of at least so many bytes are written once, and revisited after that.
@@ -119,7 +119,7 @@ def write_archives(rows: DataFrame, path: str, id_col: str = "page_id", url_col:
             out.close()
             yield pa.RecordBatch.from_pydict({"name": [name], "n": [n]})
 
-    written = joined.mapInArrow(run, "name string, n long").collect()  # a row a task
+    written = map_arrow(joined, run, "name string, n long").collect()  # a row a task
     fs, base = file_system(path)
     fs.create_dir(base, recursive=True)
     for r in written:
