@@ -2,15 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from . import graph_queries, resolve_queries, search_queries, temporal_queries, text_queries
 
-
-def hub_degree(spark, sf_dir):
-    """Ten most connected entities over the supplier-part facts."""
-    facts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.concat(F.lit("s"), "l_suppkey").alias("src"), F.concat(F.lit("p"), "l_partkey").alias("dst"))
-    ends = facts.select(F.explode(F.array("src", "dst")).alias("node"))
-    return ends.groupBy("node").agg(F.count("*").alias("degree")).orderBy(F.desc("degree"), "node").limit(10)
-
-
-QUERIES = {"hub_degree": hub_degree}
-ORACLES: dict[str, str] = {}
+PARTS = (graph_queries, temporal_queries, text_queries, resolve_queries, search_queries)
+QUERIES = {name: f for part in PARTS for name, f in part.QUERIES.items()}
+ORACLES = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
