@@ -78,7 +78,7 @@ def peel_hubs(labels: DataFrame, adjacency: DataFrame, share: float = HUB_SHARE)
     return rows.join(sizes, "label").withColumn("r", F.row_number().over(by)).select("node", "label", (F.col("r") <= F.col("hubs")).alias("is_hub"))
 
 
-def split_large(labels: DataFrame, adjacency: DataFrame, max_size: int = MAX_SIZE, depth: int = MAX_DEPTH) -> DataFrame:
+def split_large(labels: DataFrame, adjacency: DataFrame, max_size: int = MAX_SIZE, depth: int = MAX_DEPTH, rounds: int = 10) -> DataFrame:
     """(node, cluster): clusters above ``max_size`` are taken apart, by propagation inside them or else by peeling hubs.
 
     Every pass works on all large clusters at once; cluster names are paths, so parts never clash.
@@ -94,7 +94,7 @@ def split_large(labels: DataFrame, adjacency: DataFrame, max_size: int = MAX_SIZ
         hubs = peel_hubs(number.select("node", "label"), adjacency).select("node", "is_hub")
         rest = number.join(hubs.where(~F.col("is_hub")), "node").select("node", F.xxhash64("node").alias("label"))
         kept = cut(own.join(rest.select(F.col("node").alias("src")), "src", "left_semi").join(rest.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst", "cnt"))
-        parts, _, _ = propagate(cut(rest), kept, rounds=10)
+        parts, _, _ = propagate(cut(rest), kept, rounds=rounds)
         named = number.join(parts.select("node", F.col("label").cast("string").alias("part")), "node", "left")
         split = named.select("node", F.concat_ws("/", "cluster", F.coalesce("part", F.lit("hubs"))).alias("cluster"))
         small = current.join(sizes.where(F.col("n") <= max_size).select("cluster"), "cluster", "left_semi").select("node", "cluster")

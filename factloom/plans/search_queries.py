@@ -117,9 +117,9 @@ def in_cluster_edges(spark, d):
 
 
 def split_clusters(spark, d):
-    """Nations in clusters of at most ten."""
+    """Nations taken apart once, by hubs and then by what is left."""
     labels = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("node"), F.lit(0).cast("long").alias("label"))
-    return c.split_large(labels, _adjacency(spark, d), 10)
+    return c.split_large(labels, _adjacency(spark, d), 10, depth=0, rounds=3)
 
 
 def community_summaries(spark, d):
