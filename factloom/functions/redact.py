@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,23 +19,30 @@ MARK = r"\[REDACTED:\w+\]"
 
 @dataclass(frozen=True)
 class Rule:
+    """A pattern, and strings of which every match has one: where none is there, the pattern isn't tried."""
+
     name: str
     pattern: str
+    needs: tuple[str, ...] = ()
+
+    def may(self, text: Column) -> Column:
+        found = [F.contains(text, F.lit(n)) for n in self.needs]
+        return reduce(lambda a, b: a | b, found) if found else F.lit(True)
 
 
 #: Patterns without look-around or back-references, so that any engine can run them.
 RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]+-----[\s\S]*?-----END [A-Z ]+-----"),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("api_key", r"\b(?:sk|pk|ghp|xox[abp]|AKIA|AIza)[-_A-Za-z0-9]{16,}"),
-    Rule("bot_token", r"\b[0-9]{8,10}:[A-Za-z0-9_-]{35}"),
-    Rule("url_login", r"\b[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s/@]+@"),
-    Rule("bearer", r"\bBearer [A-Za-z0-9._~+/-]{16,}=*"),
-    Rule("key_value", r"(?i)\b(?:password|passwd|secret|token|api_?key)\b ?[=:] ?[\"']?[^\s\"']{6,}[\"']?"),
+    Rule("pem", r"-----BEGIN [A-Z ]+-----[\s\S]*?-----END [A-Z ]+-----", ("-----BEGIN",)),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyJ",)),
+    Rule("api_key", r"\b(?:sk|pk|ghp|xox[abp]|AKIA|AIza)[-_A-Za-z0-9]{16,}", ("sk", "pk", "ghp", "xox", "AKIA", "AIza")),
+    Rule("bot_token", r"\b[0-9]{8,10}:[A-Za-z0-9_-]{35}", (":",)),
+    Rule("url_login", r"\b[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s/@]+@", ("://",)),
+    Rule("bearer", r"\bBearer [A-Za-z0-9._~+/-]{16,}=*", ("Bearer ",)),
+    Rule("key_value", r"(?i)\b(?:password|passwd|secret|token|api_?key)\b ?[=:] ?[\"']?[^\s\"']{6,}[\"']?", ("=", ":")),
     Rule("hex32", r"\b[0-9a-f]{32,64}\b"),
-    Rule("email", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"),
+    Rule("email", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", ("@",)),
     Rule("card", r"\b[0-9]{16}\b"),
-    Rule("phone", r"\+[0-9]{1,3} ?\(?[0-9]{3}\)? ?[0-9]{3}-?[0-9]{2}-?[0-9]{2}\b"),
+    Rule("phone", r"\+[0-9]{1,3} ?\(?[0-9]{3}\)? ?[0-9]{3}-?[0-9]{2}-?[0-9]{2}\b", ("+",)),
 )
 
 
@@ -60,19 +68,30 @@ def redact(text: Column, rules: list[Rule]) -> tuple[Column, dict[str, Column]]:
 
 
 def redact_table(df: DataFrame, column: str, rules: list[Rule]) -> DataFrame:
-    """``df`` with the column redacted and _hits, a map from rule to count. A step per rule, so that each text is worked on once."""
-    out = df.withColumn("_hits", F.array().cast("array<struct<key:string,value:bigint>>"))
-    for r in rules:
-        count = F.regexp_count(F.col(column), F.lit(r.pattern)).cast("long")
-        out = out.withColumn("_hits", F.concat("_hits", F.array(F.struct(F.lit(r.name).alias("key"), F.coalesce(count, F.lit(0)).alias("value")))))
-        out = out.withColumn(column, F.regexp_replace(F.col(column), r.pattern, f"[REDACTED:{r.name}]"))
-    return out.withColumn("_hits", F.map_from_entries(F.filter("_hits", lambda h: h["value"] > 0)))
+    """``df`` with the column redacted and _hits, a map from rule to count.
+
+    One fold over the rules: a chain of projections would be merged by the optimizer into expressions
+    that grow with the number of rules. Most texts have no hit, which one search per rule finds out.
+    """
+    table = F.array(*[F.struct(F.lit(r.name).alias("name"), F.lit(r.pattern).alias("pattern"), F.array(*[F.lit(n) for n in r.needs]).cast("array<string>").alias("needs")) for r in rules])
+    start = F.struct(F.col(column).alias("text"), F.array().cast("array<struct<key:string,value:bigint>>").alias("hits"))
+
+    def step(acc: Column, r: Column) -> Column:
+        may = (F.size(r["needs"]) == 0) | F.exists(r["needs"], lambda n: F.contains(acc["text"], n))
+        hit = F.struct(r["name"].alias("key"), F.regexp_count(acc["text"], r["pattern"]).cast("long").alias("value"))
+        taken = F.struct(
+            F.regexp_replace(acc["text"], r["pattern"], F.concat(F.lit("[REDACTED:"), r["name"], F.lit("]"))).alias("text"), F.concat(acc["hits"], F.array(hit)).alias("hits")
+        )
+        return F.when(may & F.rlike(acc["text"], r["pattern"]), taken).otherwise(acc)
+
+    out = df.withColumn("_r", F.aggregate(table, start, step))
+    return out.withColumn(column, F.col("_r.text")).withColumn("_hits", F.map_from_entries("_r.hits")).drop("_r")
 
 
 def leaks(text: Column, rules: list[Rule]) -> Column:
     """Names of the rules that still find something outside the marks, in the rules' order."""
     bare = F.regexp_replace(text, MARK, " ")
-    return F.array_compact(F.array(*[F.when(bare.rlike(r.pattern), F.lit(r.name)) for r in rules]))
+    return F.array_compact(F.array(*[F.when(r.may(bare) & bare.rlike(r.pattern), F.lit(r.name)) for r in rules]))
 
 
 def entropy(token: Column) -> Column:

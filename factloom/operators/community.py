@@ -2,7 +2,7 @@
 
 Label propagation works in rounds over all nodes at once, each a join and two aggregations on the
 vote key. Plain rounds of that kind can swing between two states forever; a node therefore changes
-only in rounds of its own parity (a hash of its id), which settles such pairs. This differs from
+only in about every other round (by a hash of its id and the round), which settles such pairs. This differs from
 one-by-one updates in random order and is bounded in the same way.
 """
 
@@ -30,19 +30,17 @@ def vote(labels: DataFrame, adjacency: DataFrame) -> DataFrame:
 
 
 def propagate(nodes: DataFrame, adjacency: DataFrame, rounds: int = MAX_ROUNDS, damped: bool = True) -> tuple[DataFrame, int, int]:
-    """((node, label), rounds run, changes in the last). ``nodes``: (node, label) with initial labels; adjacency: (src, dst, cnt) both ways."""
-    labels, changed, r = nodes, 0, 0
-    quiet = 0
+    """((node, label), rounds run, nodes that would still change). ``nodes``: (node, label) with initial labels; adjacency: (src, dst, cnt) both ways."""
+    labels, wanting, r = nodes, 0, 0
     for r in range(1, rounds + 1):
         moved = vote(labels, adjacency)
-        may = (F.abs(F.hash("node")) % 2 == r % 2) if damped else F.lit(True)
-        stepped = cut(moved.select("node", F.when(may, F.col("new")).otherwise(F.col("label")).alias("label"), (may & (F.col("new") != F.col("label"))).alias("changed")))
-        changed = stepped.where("changed").count()
+        may = (F.hash("node", F.lit(r)) % 2 == 0) if damped else F.lit(True)
+        stepped = cut(moved.select("node", F.when(may, F.col("new")).otherwise(F.col("label")).alias("label"), (F.col("new") != F.col("label")).alias("wants")))
+        wanting = stepped.where("wants").count()
         labels = stepped.select("node", "label")
-        quiet = quiet + 1 if not changed else 0
-        if quiet > int(damped):
+        if not wanting:
             break
-    return labels, r, changed
+    return labels, r, wanting
 
 
 def gates(sizes: DataFrame, min_size: int = MIN_SIZE, max_size: int = MAX_SIZE) -> DataFrame:
