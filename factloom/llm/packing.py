@@ -37,7 +37,7 @@ END_ID = 2
 #: Remainders held by a task before windows are filled from them.
 BLOCK = 2048
 #: Words whose ids a task remembers; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 TOKEN_SLICE = 8_000_000
 #: Words encoded in one call, and the mark of a word's last token in the vocabulary.
 TOGETHER = 256
