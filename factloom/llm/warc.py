@@ -313,6 +313,11 @@ class WarcDataSource(DataSource):
 
 
 def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Records of the archives below ``path``. Call it anew for each query.
+
+    Spark keeps the reader with the filters pushed to it in the loaded table: a second query over the
+    same DataFrame would see the first one's filters.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
     reader = spark.read.format("warc")
