@@ -33,7 +33,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith
 from pyspark.sql.types import StructType
@@ -299,7 +299,10 @@ class WarcReader(DataSourceReader):
 
 
 class WarcDataSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; options: payload (true), partitionBytes."""
+    """``spark.read.format("warc").load(folder)``; options: payload (true), partitionBytes.
+
+    Load anew for each filtered query, or use ``read_archives``, whose result may be used many times.
+    """
 
     @classmethod
     def name(cls):
@@ -312,18 +315,22 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options))
 
 
-def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Records of the archives below ``path``. Call it anew for each query.
+def read_archives(spark: SparkSession, path: str, where: Column | str | None = None, **options) -> DataFrame:
+    """Records of the archives below ``path`` that pass ``where``.
 
-    Spark keeps the reader with the filters pushed to it in the loaded table: a second query over the
-    same DataFrame would see the first one's filters.
+    What ``where`` says of record type and headers is pushed down to the reader. Filters that are put on the
+    result later run in Spark, above the metric ``warc_records``, which must see every row: Spark keeps the
+    filters once pushed to a Python source in the loaded table, where other queries over it would meet them.
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
     reader = spark.read.format("warc")
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    records = reader.load(path)
+    if where is not None:
+        records = records.where(where)
+    return records.observe("warc_records", F.count(F.lit(1)).alias("n"))
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
@@ -331,7 +338,7 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
 
     A response's digest is computed from the payload that was read; a revisit's is its header's.
     """
-    got = read_archives(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    got = read_archives(spark, path, F.col("record_type").isin("response", "revisit"))
     return got.select("record_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", F.octet_length("payload").alias("stored_bytes"), F.sha1("payload").alias("stored_sha1"))
 
 

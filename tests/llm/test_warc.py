@@ -45,8 +45,7 @@ def test_round_trip(spark, tmp_path, make, least):
 def test_filters_and_options(spark, tmp_path, make):
     path = str(tmp_path / "w")
     warc.write_archives(pages(spark, rows_for(make)), path)
-    every = warc.read_archives(spark, path)
-    some = every.where((F.col("record_type") == "revisit") & F.col("target_uri").startswith("http://a"))
+    some = warc.read_archives(spark, path, (F.col("record_type") == "revisit") & F.col("target_uri").startswith("http://a"))
     assert [r.record_id for r in some.collect()] == [warc.urn(10)]
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "Filter (" not in plan, "record type and headers are filtered by the source"
@@ -55,6 +54,20 @@ def test_filters_and_options(spark, tmp_path, make):
     assert warc.read_archives(spark, path, partitionBytes="1").rdd.getNumPartitions() >= 1
 
 
+def test_one_result_in_many_queries(spark, tmp_path, make):
+    path = str(tmp_path / "w")
+    n = warc.write_archives(pages(spark, rows_for(make)), path)
+    every = warc.read_archives(spark, path)
+    revisits, responses = every.where("record_type = 'revisit'"), every.where("record_type = 'response'")
+    assert revisits.count() + responses.count() == n
+    assert every.count() == revisits.unionAll(responses).count() == n
+    joined = revisits.alias("a").join(responses.alias("b"), F.col("a.refers_to") == F.col("b.record_id"))
+    assert joined.count() == revisits.count() > 0
+    narrowed = warc.read_archives(spark, path, "record_type = 'revisit'")
+    assert narrowed.where("target_uri = 'http://a'").count() == 1
+    assert narrowed.count() == revisits.count()
+
+
 def test_plain_archives_and_other_records(spark, tmp_path):
     record = warc.record("response", "<urn:page:1>", "http://x", b"abc", warc.digest(b"abc"))
     info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:i>\r\nX-Long: a\r\n b\r\nContent-Type: text/plain\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
