@@ -184,6 +184,45 @@ ORACLES = {
   SELECT doc_id, unnest(range(0, len(out))) AS i, unnest(out) AS chunk FROM finished
 )
 SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS md5 FROM placed""",
+    "turn_chunking": f"""WITH RECURSIVE turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, CAST(turn AS VARCHAR) AS ts, role, text FROM conversations
+), paragraphs AS (
+  SELECT conv_id, k, list_filter(list_transform(regexp_split_to_array(text, '\\n\\s*\\n'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS ps
+  FROM turns WHERE length(role || ': ' || text) > {TURN_LIMIT}
+), cutting AS (
+  SELECT conv_id, k, ps, 1 AS pos, '' AS cur, CAST([] AS VARCHAR[]) AS out FROM paragraphs
+  UNION ALL
+  SELECT conv_id, k, ps, pos + 1,
+    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {TURN_LIMIT - 30} THEN CASE WHEN cur = '' THEN ps[pos] ELSE cur || chr(10) || chr(10) || ps[pos] END
+      ELSE ps[pos][(greatest((length(ps[pos]) - 1) // {TURN_LIMIT - 30}, 0)) * {TURN_LIMIT - 30} + 1 :] END,
+    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {TURN_LIMIT - 30} THEN out
+      ELSE list_concat(CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END,
+        list_transform(range(0, greatest((length(ps[pos]) - 1) // {TURN_LIMIT - 30}, 0)), lambda n: ps[pos][n * {TURN_LIMIT - 30} + 1 : (n + 1) * {TURN_LIMIT - 30}])) END
+  FROM cutting WHERE pos <= len(ps)
+), cut AS (
+  SELECT conv_id, k, unnest(range(0, len(out))) AS j, unnest(out) AS p
+  FROM (SELECT conv_id, k, CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END AS out FROM cutting WHERE pos = len(ps) + 1)
+), pieces AS (
+  SELECT conv_id, k, 0 AS j, ts, role || ': ' || text AS p FROM turns WHERE length(role || ': ' || text) <= {TURN_LIMIT}
+  UNION ALL SELECT conv_id, k, j, ts, role || CASE WHEN j = 0 THEN ': ' ELSE ' (continued): ' END || p FROM cut JOIN turns USING (conv_id, k)
+), listed AS (
+  SELECT conv_id, list(ts ORDER BY k, j) AS tss, list(p ORDER BY k, j) AS ps FROM pieces GROUP BY 1
+), packing AS (
+  SELECT conv_id, tss, ps, 1 AS pos, '' AS cur, 0 AS size, CAST(NULL AS VARCHAR) AS ts, CAST([] AS VARCHAR[]) AS firsts, CAST([] AS VARCHAR[]) AS out FROM listed
+  UNION ALL
+  SELECT conv_id, tss, ps, pos + 1,
+    CASE WHEN cur = '' OR size + length(ps[pos]) > {TURN_LIMIT} THEN ps[pos] ELSE cur || chr(10) || chr(10) || ps[pos] END,
+    CAST(CASE WHEN cur = '' OR size + length(ps[pos]) > {TURN_LIMIT} THEN 0 ELSE size END + length(ps[pos]) + 2 AS INTEGER),
+    CASE WHEN cur = '' OR size + length(ps[pos]) > {TURN_LIMIT} THEN tss[pos] ELSE ts END,
+    CASE WHEN cur <> '' AND size + length(ps[pos]) > {TURN_LIMIT} THEN list_append(firsts, ts) ELSE firsts END,
+    CASE WHEN cur <> '' AND size + length(ps[pos]) > {TURN_LIMIT} THEN list_append(out, cur) ELSE out END
+  FROM packing WHERE pos <= len(ps)
+), finished AS (
+  SELECT conv_id, CASE WHEN cur = '' THEN firsts ELSE list_append(firsts, ts) END AS firsts, CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END AS out FROM packing WHERE pos = len(ps) + 1
+), placed AS (
+  SELECT conv_id, unnest(range(0, len(out))) AS i, unnest(firsts) AS first_turn, unnest(out) AS chunk FROM finished
+)
+SELECT conv_id, CAST(i AS INTEGER) AS i, first_turn, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS md5 FROM placed""",
     "content_hash_names": "SELECT doc_id, source || '.md#' || doc_id || '@' || left(sha1(text || '|' || lang || '|' || source), 8) AS name FROM documents",
     "front_header": """WITH n AS (SELECT doc_id, lang, source, (['confirmed', 'proposed', 'paused', 'obsolete', 'other', 'mixed', ''])[doc_id % 7 + 1] AS s FROM documents)
 SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '[ARCHIVE, written 2020] ' WHEN s = 'mixed' THEN '[status: mixed] ' WHEN s <> '' THEN '[note: status ' ||
