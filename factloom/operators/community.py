@@ -34,7 +34,7 @@ def propagate(nodes: DataFrame, adjacency: DataFrame, rounds: int = MAX_ROUNDS,
     labels, wanting, r = nodes, 0, 0
     for r in range(1, rounds + 1):
         moved = vote(labels, adjacency)
-        may = (F.hash("node", F.lit(r)) % 2 == 0) if damped else F.lit(True)
+        may = (F.left(F.md5(F.concat(F.col("node").cast("string"), F.lit(f":{r}"))), F.lit(1)) < "8") if damped else F.lit(True)
         stepped = cut(moved.select("node", F.when(may, F.col("new")).otherwise(F.col("label")).alias("label"), (F.col("new") != F.col("label")).alias("wants")))
         wanting = stepped.where("wants").count()
         labels = stepped.select("node", "label")

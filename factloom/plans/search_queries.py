@@ -11,6 +11,7 @@ from . import graph as g
 from .graph import table, with_sql
 
 WORDS = "the license public tion"
+LPA_ROUNDS = 10
 
 
 def _vectors(spark, d):
@@ -89,7 +90,7 @@ def lpa_vote(spark, d):
 
 def lpa_rounds(spark, d):
     nodes = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("node"), F.col("n_nationkey").cast("long").alias("label"))
-    labels, _, _ = c.propagate(nodes, _adjacency(spark, d), rounds=10)
+    labels, _, _ = c.propagate(nodes, _adjacency(spark, d), rounds=LPA_ROUNDS)
     return labels
 
 
@@ -153,6 +154,18 @@ _BFS = f"""{_EDGES}, d1 AS (SELECT DISTINCT dst AS node FROM e WHERE src = 's1'
   d2 AS (SELECT DISTINCT e.dst AS node FROM e JOIN d1 ON e.src = d1.node WHERE e.dst <> 's1' AND e.dst NOT IN (SELECT node FROM d1)),
   near AS (SELECT 's1' AS node, 0 AS distance UNION ALL SELECT node, 1 FROM d1 UNION ALL SELECT node, 2 FROM d2)"""
 
+
+def _rounds_sql(rounds: int) -> str:
+    """Label propagation, round by round: l has the labels after a round, v the votes in it."""
+    steps = ["l0 AS MATERIALIZED (SELECT CAST(n_nationkey AS BIGINT) AS node, CAST(n_nationkey AS BIGINT) AS label FROM nation)"]
+    for r in range(1, rounds + 1):
+        steps.append(f"""v{r} AS MATERIALIZED (SELECT src AS node, t.label AS new, row_number() OVER (PARTITION BY src ORDER BY sum(cnt) DESC, t.label = o.label DESC, t.label) AS place
+        FROM adj JOIN l{r - 1} t ON t.node = dst JOIN l{r - 1} o ON o.node = src GROUP BY src, t.label, o.label)""")
+        steps.append(f"""l{r} AS MATERIALIZED (SELECT l.node, CASE WHEN left(md5(l.node || ':{r}'), 1) < '8' THEN coalesce(new, label) ELSE label END AS label
+        FROM l{r - 1} l LEFT JOIN v{r} v ON v.node = l.node AND place = 1)""")
+    return f"WITH {_NATIONS}, " + ",\n".join(steps) + f" SELECT node, label FROM l{rounds}"
+
+
 ORACLES = {
     "vector_topk": f"WITH {_SCORED} SELECT uuid, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, uuid LIMIT 20",
     "vector_topk_threshold": f"WITH {_SCORED} SELECT uuid, label, round(score, 6) AS score FROM scored WHERE label < 5 AND scored.score > 0.1 ORDER BY scored.score DESC, uuid LIMIT 50",
@@ -172,6 +185,7 @@ ORACLES = {
   SELECT deg.node AS uuid, CAST(coalesce(distance, 3) AS INTEGER) AS distance, CAST(n AS DOUBLE) AS score FROM deg LEFT JOIN near ON near.node = deg.node""",
     "lpa_vote": f"""WITH {_NATIONS}, r AS (SELECT src, dst, cnt, row_number() OVER (PARTITION BY src ORDER BY cnt DESC, dst) AS r FROM adj)
         SELECT CAST(n_nationkey AS BIGINT) AS node, coalesce(dst, CAST(n_nationkey AS BIGINT)) AS new FROM nation LEFT JOIN r ON src = n_nationkey AND r = 1""",
+    "lpa_rounds": _rounds_sql(LPA_ROUNDS),
     "cluster_size_histogram": """SELECT CASE WHEN n <= 1 THEN '<=1' WHEN n <= 3 THEN '<=3' WHEN n <= 10 THEN '<=10' WHEN n <= 30 THEN '<=30' WHEN n <= 100 THEN '<=100' ELSE '>100' END AS bucket,
         count(*) AS clusters, CAST(sum(n) AS BIGINT) AS members FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey) GROUP BY 1""",
     "size_gates": """SELECT CASE WHEN n < 3 THEN 'dropped' WHEN n <= 15 THEN 'kept' ELSE 'split' END AS gate, count(*) AS clusters, CAST(sum(n) AS BIGINT) AS members,
