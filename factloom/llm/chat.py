@@ -8,9 +8,9 @@ replies to the one that most of its lines at the outermost level are linked to (
 a tie), or, without a link, to the message before it. A reply to an older message opens a branch.
 Conversations are laid out branch by branch: a branch follows the message that it replies to.
 
-No group is gathered: links are made by an equality join on (conversation, hash) of lines, of which
-each message has one row, through a window over the few rows of one line's hash; the running branch
-is found in blocks of ``BLOCK`` messages first and then over the blocks.
+No group is gathered: lines meet by (conversation, hash), of which each message has one row. The last
+own line before a quoted one, and the running branch, are found in blocks of ``BLOCK`` messages first
+and then over the blocks, so that neither a common line nor a long conversation makes a long window.
 
 Rows: one per message: conv_id, turn, role, own text without quotations, reply_to (turn, null for the
 first), n_quoted lines, depth (deepest quotation level), branch (the turn that opened it), and place
@@ -70,10 +70,16 @@ def link(messages: DataFrame) -> DataFrame:
     quotes = rows.where("level = 1").groupBy("conv_id", "order", "hash").agg(F.count("*").alias("votes"))
     wanted = quotes.select(F.col("conv_id").alias("q_conv"), F.col("hash").alias("q_hash")).distinct()
     own = rows.where("level = 0").join(wanted, rows["conv_id"].eqNullSafe(F.col("q_conv")) & (F.col("hash") == F.col("q_hash")), "left_semi").select("conv_id", "order", "hash").distinct()
-    # one sweep over quoted and own lines of a hash: the last own line before each quoted one
+    # quoted and own lines of a hash: the last own line before each quoted one, within blocks of messages and then across them
     both = quotes.select("conv_id", "hash", "order", "votes").unionByName(own.withColumn("votes", F.lit(0).cast("long")))
-    before = Window.partitionBy("conv_id", "hash").orderBy("order").rangeBetween(Window.unboundedPreceding, -1)
-    found = both.withColumn("source", F.max(F.when(F.col("votes") == 0, F.col("order"))).over(before)).where("votes > 0 and source is not null")
+    both = both.withColumn("block", F.floor(F.col("order") / BLOCK)).withColumn("own", F.when(F.col("votes") == 0, F.col("order")))
+    inside = Window.partitionBy("conv_id", "hash", "block").orderBy("order").rangeBetween(Window.unboundedPreceding, -1)
+    near = both.withColumn("near", F.max("own").over(inside)).where("votes > 0").drop("own")
+    earlier = Window.partitionBy("conv_id", "hash").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = both.groupBy("conv_id", "hash", "block").agg(F.max("own").alias("last")).withColumn("far", F.max("last").over(earlier)).where("far is not null")
+    ends = ends.select(F.col("conv_id").alias("e_conv"), F.col("hash").alias("e_hash"), F.col("block").alias("e_block"), "far")
+    same = near["conv_id"].eqNullSafe(ends["e_conv"]) & (F.col("hash") == F.col("e_hash")) & (F.col("block") == F.col("e_block"))
+    found = near.join(ends, same, "left").withColumn("source", F.coalesce("near", "far")).where("source is not null")
     votes = found.groupBy("conv_id", "order", "source").agg(F.sum("votes").alias("votes"))
     return votes.groupBy("conv_id", "order").agg(F.max_by("source", F.struct("votes", "source")).alias("quoted"))
 

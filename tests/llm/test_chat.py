@@ -46,3 +46,13 @@ def test_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([row(1, 0, "a"), row(1, 0, "a"), row(1, 1, "b")], "conv_id long, turn long, role string, text string, place string, branch int")
     assert chat.conversations(df).count() == 3
     assert chat.conversations(df.limit(0)).count() == 0
+
+
+def test_a_common_line_in_a_long_conversation(spark):
+    """The last own line before each quotation, by brute force, within a block and across several."""
+    said = {k for k in range(0, 5000, 3) if not 900 < k < 4000}
+    asks = {k for k in range(5, 5000, 35)}
+    rows = [row(1, k, ("Yes\n" if k in said else "") + ("> yes\n" if k in asks else "") + f"message {k}") for k in range(5000)]
+    got = run(spark, rows)
+    for k in range(1, 5000):
+        assert got[1, k].reply_to == (max(s for s in said if s < k) if k in asks else k - 1)
