@@ -1,20 +1,26 @@
-"""Line dedup by winnowing: repeated runs of lines stay where they come first and go elsewhere.
+"""Line dedup by winnowing: repeated runs of words stay where they come first and go elsewhere.
 
-A line ends at a line feed or with a sentence (a word that ends in ``.``, ``!`` or ``?``, closing
-quotes aside), so that running prose has lines as well. From every line on, the fewest lines that
-hold ``gram_words`` words form a gram; over the grams inside each window of ``run_words`` words the
-smallest hash is selected as a fingerprint. A run of ``run_words`` or more words that stands in two
-places has a window whole in both, and so a fingerprint in common (the guarantee of winnowing).
-Fingerprints are joined on their hash over all documents; documents that share one are candidates.
-There, matches are extended both ways: every gram of a candidate is matched to its first place,
-in the order of doc_id (null last) and position, and overlapping grams that have an earlier place
-make up a run. Runs of at least ``run_words`` words are deleted.
+A passage may begin and end anywhere, inside a sentence or line as well, so windows of words count:
+every window of ``run_words`` words that has an earlier place, in the order of doc_id (null last) and
+position, is deleted. That is each match extended word by word both ways, then held to the limit.
 
-Hot lines are pre-aggregated by hash and then joined, never paired with each other.
+Windows are not compared one by one. The smallest hash over the grams of ``gram_words`` words inside
+a window is its fingerprint; neighbouring windows with the same one at the same place (the leftmost) make
+a segment, in which no window stands twice. Equal windows
+have equal fingerprints, so only segments whose fingerprint stands in two places matter (the guarantee
+of winnowing). A segment that stands whole at an earlier place is repeated whole; only where segments
+of one fingerprint differ are their windows written out and matched, once for each different segment.
+
+Hot segments are pre-aggregated by hash and then joined, never paired with each other.
+
+``dedup_lines`` is the narrower form for whole lines: a line ends at a line feed or with a sentence (a
+word that ends in ``.``, ``!`` or ``?``, closing quotes aside); from every line on, the fewest lines
+that hold ``gram_words`` words form a gram, and unions of repeated grams of ``run_words`` words go.
 
 Defined cases: null texts stay null; texts without a repeated run stay as they are, to the byte;
 rows with equal doc_id and text are one place, so neither deletes from the other; rows without a
-doc_id come last, by the hash of their text; a text may lose all its lines and is then empty; an
+doc_id come last, by the hash of their text; a text may lose all its words and is then empty; a run
+that repeats itself in place (as one word over and over) keeps its start up to the first repetition; an
 empty table gives no rows; other columns are kept, whatever their names.
 """
 
@@ -29,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, hash_strings, map_arrow, materialize, mix64, segment_ids, slices, table, words_of
+from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64, segment_ids, slices, table, words_of
 
 GRAM_WORDS = 16
 RUN_WORDS = 32
@@ -117,6 +123,39 @@ def grams_of(text: pa.Array, gram_words: int, run_words: int) -> dict[str, np.nd
     return {"doc": home[grams], "hash": value[grams].view(np.int64), "from": first[grams] - zero, "to": ending[last[grams]] - zero, "selected": selected[grams]}
 
 
+def _rolling(flat: pa.Array):
+    """Hashes of spans of words, by first word and length."""
+    coded = flat.dictionary_encode()
+    word = hash_strings(coded.dictionary)[np.asarray(coded.indices)]
+    powers, back = _powers(int(_ODD), len(word)), _powers(pow(int(_ODD), -1, 2**64), len(word))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(word * powers, dtype=np.uint64)])
+    return lambda at, size: mix64((total[at + size] - total[at]) * back[at])
+
+
+def segments_of(text: pa.Array, gram_words: int, run_words: int) -> dict[str, np.ndarray]:
+    """Segments of all texts in a row: doc, print, segment (hash of its words), from (word position in the text) and windows."""
+    flat, offsets = words_of(text)
+    doc = segment_ids(offsets)
+    n = len(doc)
+    start = np.flatnonzero(doc[: max(0, n - run_words + 1)] == doc[run_words - 1 :])
+    if not len(start):
+        return {k: np.zeros(0, np.int64) for k in ("doc", "print", "segment", "from", "windows")}
+    span = _rolling(flat)
+    gram, width, held = span(np.arange(n - gram_words + 1), gram_words), run_words - gram_words + 1, 1
+    least = np.arange(len(gram))  # where the smallest gram of each window stands, the leftmost one if it is there twice
+    while held < width:
+        step = min(held, width - held)
+        a, b = least[:-step], least[step:]
+        least = np.where(gram[b] < gram[a], b, a)
+        held += step
+    least = least[start]
+    value = gram[least]
+    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    windows = np.diff(np.concatenate([first, [len(start)]]))
+    begin = start[first]
+    return {"doc": doc[begin], "print": value[first].view(np.int64), "segment": span(begin, windows + run_words - 1).view(np.int64), "from": begin - offsets[doc[begin]], "windows": windows}
+
+
 def merge_ranges(ranges: list[tuple[int, int]], run_words: int) -> list[tuple[int, int]]:
     """Unions of overlapping or adjoining ranges that have at least ``run_words`` words."""
     out: list[list[int]] = []
@@ -181,9 +220,64 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
 
 
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, ranges): word ranges [from, to) of each document whose windows of ``run_words`` words all stand earlier."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            g = segments_of(column(b, "text"), gram_words, run_words)
+            at = pa.array(g["doc"])
+            numbers = [pa.array(g[k], t) for k, t in (("print", pa.int64()), ("segment", pa.int64()), ("from", pa.int32()), ("windows", pa.int32()))]
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "text_hash").take(at), *numbers], ["doc_id", "text_hash", "print", "segment", "from", "windows"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            flat, offsets = words_of(column(b, "text"))
+            listed = column(b, "open")
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+            one = listed.flatten()
+            count = one.field("windows").to_numpy(zero_copy_only=False).astype(np.int64)
+            inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            start = np.repeat(one.field("from").to_numpy(zero_copy_only=False).astype(np.int64), count) + inner
+            row = np.repeat(row, count)
+            value = _rolling(flat)(offsets[row] + start, run_words)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "text_hash").take(at), pa.array(value.view(np.int64)), pa.array(start, pa.int32())], ["doc_id", "text_hash", "window", "from"])
+
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"), F.col("from"))
+    every = materialize(map_arrow(src, segments, f"doc_id {kind}, text_hash int, print long, segment long, `from` int, windows int"), "winnow")
+    # tables of their own on one side of the joins, so that the skew of the other side can be split
+    shared = materialize(every.groupBy("print").count().where("count > 1").select("print"), "winnow-shared")
+    hits = materialize(every.join(shared, "print", "left_semi"), "winnow-hits")
+    forget(every)
+    first = materialize(hits.groupBy("print", "segment", "windows").agg(F.min(place).alias("first")), "winnow-first")
+    whole = hits.join(first.select("print", "segment", "first"), ["print", "segment"]).where(place != F.col("first"))
+    several = materialize(first.groupBy("print").count().where("count > 1").select("print"), "winnow-several")
+    unlike = first.join(several, "print", "left_semi").select("first.doc_id", "first.text_hash", "first.from", "windows")
+    unlike = unlike.groupBy(F.col("doc_id").alias("o_id"), F.col("text_hash").alias("o_hash")).agg(F.collect_list(F.struct("from", "windows")).alias("open"))
+    unlike = materialize(unlike, "winnow-open")
+    read = src.join(unlike, src["doc_id"].eqNullSafe(unlike["o_id"]) & (src["text_hash"] == unlike["o_hash"])).select("doc_id", "text_hash", "text", "open")
+    rows = materialize(map_arrow(read, windows, f"doc_id {kind}, text_hash int, window long, `from` int"), "winnow-windows")
+    earliest = rows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("window", "first")
+    part = rows.join(materialize(earliest, "winnow-earliest"), "window").where(place != F.col("first"))
+    span = lambda n: F.struct(F.col("from"), (F.col("from") + n + F.lit(run_words - 1)).alias("to"))
+    ranges = whole.select("doc_id", "text_hash", span(F.col("windows")).alias("range")).unionByName(part.select("doc_id", "text_hash", span(F.lit(1)).alias("range")))
+    return ranges.groupBy("doc_id", "text_hash").agg(F.collect_set("range").alias("ranges"))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """``docs`` with repeated runs deleted from the text, and columns _n_runs and _n_words: what was deleted."""
-    found = repeated_ranges(docs, id_col, text_col, gram_words, run_words)
+    """``docs`` with repeated runs of whole lines deleted from the text, and column _runs: what was deleted."""
+    return _delete(docs, repeated_ranges(docs, id_col, text_col, gram_words, run_words), id_col, text_col, run_words)
+
+
+def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """``docs`` with all repeated runs of ``run_words`` words or more deleted from the text, and column _runs: what was deleted."""
+    return _delete(docs, repeated_windows(docs, id_col, text_col, gram_words, run_words), id_col, text_col, run_words)
+
+
+def _delete(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("ranges").alias("_ranges"))
 
     @F.arrow_udf("struct<text: string, runs: array<struct<`from`: int, `to`: int>>>")
@@ -209,7 +303,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def stage(docs: DataFrame) -> DataFrame:
     """Documents without repeated runs; those that have lost all their words go."""
-    out = dedup_lines(docs)
+    out = dedup_runs(docs)
     empty = (F.size("_runs") > 0) & (F.length("text") == 0)
     return out.where(~empty).withColumn("n_chars", F.when(F.size("_runs") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
@@ -217,6 +311,6 @@ def stage(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the deleted runs as word ranges, and length and digest of what is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = dedup_lines(docs)
+    out = dedup_runs(docs)
     words = F.aggregate("_runs", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
     return out.select("doc_id", F.size("_runs").alias("n_runs"), words.alias("n_words_deleted"), F.col("_runs").alias("runs"), F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))

@@ -109,3 +109,41 @@ def test_repeated_rows_and_empty_table(spark, documents, make):
     got = ld.dedup_lines(documents([(1, t), (1, t), (2, t)])).collect()
     assert sorted((r.doc_id, r.text == t) for r in got) == [(1, True), (1, True), (2, False)]
     assert ld.dedup_lines(documents([])).count() == 0
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute_windows(docs, run):
+    """The word ranges whose windows of ``run`` words stand earlier, by comparing all windows."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        w = words(text)
+        found = []
+        for k in range(len(w) - run + 1):
+            if (x := tuple(w[k : k + run])) in seen:
+                found.append((k, k + run))
+            seen.add(x)
+        out[i] = ld.merge_ranges(found, run)
+    return out
+
+
+def test_runs_against_brute_force(spark, documents, make, rng):
+    docs = corpus(make, rng)
+    for gram, run in ((16, 32), (5, 12)):
+        want = brute_windows(docs, run)
+        got = {r.doc_id: [(x["from"], x["to"]) for x in r._runs] for r in ld.dedup_runs(documents(docs), gram_words=gram, run_words=run).collect()}
+        assert got == want
+        assert any(want.values())
+
+
+def test_passages_of_over_50_words_go_wherever_they_begin(spark, documents, rng):
+    plain = lambda tag, n: [f"{tag}{k}" for k in range(n)]
+    passage = plain("p", 51)
+    dotted = [f"{x}." if k in (13, 33) else x for k, x in enumerate(plain("q", 60))]  # 20 words of whole lines inside
+    docs = [(i, " ".join([*plain(f"a{i}-", rng.randint(0, 40)), *(passage if i % 2 else dotted), *plain(f"z{i}-", rng.randint(0, 40))])) for i in range(1, 13)]
+    left = {r.doc_id: words(r.text) for r in ld.dedup_runs(documents(docs)).collect()}
+    assert left[1] == words(docs[0][1]) and left[2] == words(docs[1][1])
+    for i, text in docs[2:]:
+        assert left[i] == [x for x in words(text) if x not in passage and x not in dotted]
