@@ -147,3 +147,9 @@ def test_passages_of_over_50_words_go_wherever_they_begin(spark, documents, rng)
     assert left[1] == words(docs[0][1]) and left[2] == words(docs[1][1])
     for i, text in docs[2:]:
         assert left[i] == [x for x in words(text) if x not in passage and x not in dotted]
+
+
+def test_stage_drops_later_exact_copies_whole(spark, documents, make):
+    tail = [make(60).rstrip(". \n") + f". End of{i} this." for i in range(4)]
+    docs = [(i + 10 * k, t) for i, t in enumerate(tail) for k in range(3)]
+    assert sorted(r.doc_id for r in ld.stage(documents(docs)).collect()) == [0, 1, 2, 3]
