@@ -77,9 +77,10 @@ def peel_hubs(labels: DataFrame, adjacency: DataFrame, share: float = HUB_SHARE)
 
 
 def split_large(labels: DataFrame, adjacency: DataFrame, max_size: int = MAX_SIZE, depth: int = MAX_DEPTH, rounds: int = 10) -> DataFrame:
-    """(node, cluster): clusters above ``max_size`` are taken apart, by propagation inside them or else by peeling hubs.
+    """(node, cluster): clusters above ``max_size`` are taken apart by peeling hubs and propagation among the rest.
 
-    Every pass works on all large clusters at once; cluster names are paths, so parts never clash.
+    What is above ``max_size`` after the last pass is dealt into parts of that size, by falling degree inside
+    the cluster, so that the bound always holds. Every pass works on all large clusters at once; cluster names are paths, so parts never clash.
     """
     current = labels.select("node", F.col("label").cast("string").alias("cluster"))
     for _ in range(depth + 1):
@@ -97,7 +98,12 @@ def split_large(labels: DataFrame, adjacency: DataFrame, max_size: int = MAX_SIZ
         split = named.select("node", F.concat_ws("/", "cluster", F.coalesce("part", F.lit("hubs"))).alias("cluster"))
         small = current.join(sizes.where(F.col("n") <= max_size).select("cluster"), "cluster", "left_semi").select("node", "cluster")
         current = cut(small.unionByName(split))
-    return current
+    number = current.select("node", F.xxhash64("cluster").alias("label"), "cluster")
+    degrees = inside(number.select("node", "label"), adjacency).groupBy("src").agg(F.sum("cnt").alias("degree")).withColumnRenamed("src", "node")
+    large = current.groupBy("cluster").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("cluster").orderBy(F.desc("degree"), "node")
+    dealt = number.join(large, "cluster").join(degrees, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("part", F.floor((F.row_number().over(by) - 1) / max_size).cast("string"))
+    return dealt.select("node", F.when(F.col("n") > max_size, F.concat_ws("/", "cluster", F.concat(F.lit("dealt"), F.col("part")))).otherwise(F.col("cluster")).alias("cluster"))
 
 
 def members_with_summary(clusters: DataFrame, entities: DataFrame, min_size: int = MIN_SIZE) -> DataFrame:

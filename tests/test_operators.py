@@ -249,3 +249,12 @@ def test_sinks(spark, tmp_path):
     sinks.replace_group(spark.createDataFrame([("a", 9)], "group_id string, n int"), path)
     assert {(r.group_id, r.n) for r in spark.read.parquet(path).collect()} == {("a", 9), ("b", 2)}
     assert sinks.stale_snapshots(["3", "1", "2"], 2) == ["1"]
+
+
+def test_split_large_holds_the_size(spark):
+    n = 25
+    edges = spark.createDataFrame([(i, j, 1) for i in range(n) for j in range(n) if i != j], "src long, dst long, cnt long")
+    labels = spark.createDataFrame([(i, 0) for i in range(n)], "node long, label long")
+    rows = community.split_large(labels, edges, 10, depth=0, rounds=3).collect()
+    sizes = [sum(x.cluster == c for x in rows) for c in {r.cluster for r in rows}]
+    assert sorted(r.node for r in rows) == list(range(n)) and max(sizes) <= 10
