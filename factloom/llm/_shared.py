@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are handled in slices of about so many bytes, which bounds a Python worker's memory.
 SLICE_BYTES = 3_000_000
+#: Settings that the queries and the pipeline run under. Batches for Python workers are small, as whole texts are in
+#: them (Spark's default of 10,000 rows takes much memory); the WARC source's filters are pushed down.
+SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.python.filterPushdown.enabled": "true"}
 
 
-#: Rows that Spark hands to a Python worker at once; with whole texts in them, its default of 10,000 takes much memory.
-BATCH_ROWS = 2000
+def prepare(spark: SparkSession) -> SparkSession:
+    """Put ``SETTINGS`` on a session: for the queries and the pipeline, which own theirs. Operators leave a session as it is."""
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    return spark
 
 
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` over small batches."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 
@@ -31,20 +36,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sealed(df: DataFrame, *used: str) -> tuple[DataFrame, list[str], Callable[..., DataFrame]]:
+    """``df`` with its columns renamed c0, c1 and so on, so that none clashes with a column of an operator.
+
+    Also the new names of the columns ``used``, and a function that gives a result its columns' old names
+    back (any further columns it has are named after them, in its ``more``).
+    """
+    names = df.columns
+    inner = df.toDF(*[f"c{k}" for k in range(len(names))])
+
+    def restore(out: DataFrame, *more: tuple[str, str]) -> DataFrame:
+        return out.select(*inner.columns, *[c for c, _ in more]).toDF(*names, *[n for _, n in more])
+
+    return inner, [f"c{names.index(u)}" for u in used], restore
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (local tests) a temporary folder is made and set.
+    Where it is unset, a temporary folder is made and set if all runs in one process; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="factloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path below the application's scratch folder, which goes when the application ends."""
+    root = f"{shared_dir(spark).rstrip('/')}/factloom-{spark.sparkContext.applicationId}"
+    p, fs = _path(spark, root)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -55,16 +88,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the files of a materialized table once nothing reads them any more."""
-    folders = {os.path.dirname(f) for f in df.inputFiles()}
-    for folder in folders:
-        drop_path(df.sparkSession, folder)
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables once nothing reads them any more."""
+    for df in tables:
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            drop_path(df.sparkSession, folder)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

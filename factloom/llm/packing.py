@@ -17,8 +17,8 @@ packed each for itself; an empty table gives no rows; other columns are never re
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, map_arrow, slices, table, words_of
+from ._shared import column, map_arrow, prepare, slices, table, words_of
 
 CAPACITY = 4096
 END_ID = 2
@@ -42,6 +42,9 @@ TOKEN_SLICE = 8_000_000
 #: Words encoded in one call, and the mark of a word's last token in the vocabulary.
 TOGETHER = 256
 WORD_END = "</w>"
+#: Words of letters that stay single letters when they are normalised and lowered. Others, as U+0130, may end in a
+#: combining mark, which the tokenizer would join with the punctuation after it, so they are encoded as they stand.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0152\u0153]+").fullmatch
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -63,48 +66,53 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.is_end = np.zeros(1 << 16, bool)
-        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
-        self.marks = {m: array("H", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,"}
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = np.dtype(np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.marks = {m: self.bytes_of(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ".,"}
+
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, as bytes of uint16. Words of letters are encoded many at a time, as each gives one word end."""
+        """Ids of words, as bytes of ``kind``. Plain words are encoded many at a time, as each gives one word end."""
         out = {}
-        plain, rest = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        plain, rest = [w for w in words if PLAIN(w)], [w for w in words if not PLAIN(w)]
         for lo in range(0, len(plain), TOGETHER):
             part = plain[lo : lo + TOGETHER]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=np.uint16)
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=self.kind)
             ends = np.flatnonzero(self.is_end[ids]) + 1
-            if len(ends) != len(part):  # some letter falls apart when it is normalised
+            if len(ends) != len(part):  # a tokenizer that marks word ends in another way
                 rest += part
                 continue
             data, at = ids.tobytes(), 0
-            for w, end in zip(part, (2 * ends).tolist(), strict=True):
+            for w, end in zip(part, (self.kind.itemsize * ends).tolist(), strict=True):
                 out[w] = data[at:end]
                 at = end
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            out[w] = array("H", e.ids).tobytes()
+            out[w] = self.bytes_of(e.ids)
         return out
 
     def ids(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, as uint16, and each text's offsets into them."""
+        """All ids in a row, as ``kind``, and each text's offsets into them."""
         flat, offsets = words_of(text)
         if not len(flat):
-            return np.zeros(0, np.uint16), np.zeros(len(text) + 1, np.int64)
+            return np.zeros(0, self.kind), np.zeros(len(text) + 1, np.int64)
         coded = flat.dictionary_encode()
         # A-Z are lowered here already (fewer different words), but where a special token may stand
         words = pc.if_else(pc.match_substring(coded.dictionary, "<|"), coded.dictionary, pc.ascii_lower(coded.dictionary)).to_pylist()
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        # a full stop or comma after a letter is a token of its own: the word is looked up without it
-        stems = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in words]
+        # a full stop or comma after a plain word is a token of its own: the word is looked up without it
+        stems = [w[:-1] if w[-1] in ".," and PLAIN(w[:-1]) else w for w in words]
         got = list(map(known.get, stems))
         known.update(self.encode(list({s for s, g in zip(stems, got, strict=True) if g is None})))
         found = [g or known[s] for s, g in zip(stems, got, strict=True)]
         found = [g if len(s) == len(w) else g + self.marks[w[-1]] for s, g, w in zip(stems, found, words, strict=True)]
-        store = np.frombuffer(b"".join(found), dtype=np.uint16)
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 2
+        store = np.frombuffer(b"".join(found), dtype=self.kind)
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
         begin = np.cumsum(size) - size
         at = np.asarray(coded.indices)
         size, begin = size[at], begin[at]
@@ -242,7 +250,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
             id_type = column(b, "doc_id").type
             ids, offsets = tokens.ids(column(b, "text"))
             for k, doc_id in enumerate(column(b, "doc_id").to_pylist()):
-                own = np.append(ids[offsets[k] : offsets[k + 1]], np.uint16(end_id))
+                own = np.append(ids[offsets[k] : offsets[k + 1]], tokens.kind.type(end_id))
                 packer.add((doc_id, own), len(own))
             if len(rows) > 5000:
                 yield out()
@@ -256,4 +264,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(prepare(spark), sf_dir, "documents"))

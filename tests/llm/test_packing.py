@@ -2,15 +2,20 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from factloom.llm import packing
 
 
+TOKENIZER = Tokenizer.from_file(packing.tokenizer_file())
+
+
 def reference_ids(text):
-    t = Tokenizer.from_file(packing.tokenizer_file())
-    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def check_rows(rows, ids_by_doc, capacity):
@@ -69,3 +74,40 @@ def test_window_is_filled_best():
         assert all(n <= counts[k] for k, n in used.items())
         assert total + slack == capacity
         assert total == brute_best(counts, capacity)
+
+
+def ids_by_word(texts):
+    ids, offsets = packing.coder(packing.tokenizer_file()).ids(pa.array(texts, pa.string()))
+    return [ids[offsets[k] : offsets[k + 1]].tolist() for k in range(len(texts))]
+
+
+@pytest.mark.parametrize("words", [["İ.", "İ,", "क़.", "שׁ."], ["ab.", "Ärger,", "œuvre.", "don't.", "x'S,", "ß.", "ŉ.", "ſ,", "ǆ.", "á.", "9.", "..", "<|endoftext|>.", "a<|endoftext|>b,"]])
+def test_letters_that_fall_apart(words):
+    texts = [*words, " ".join(words), *(f"{w} {w}" for w in words)]
+    assert ids_by_word(texts) == [TOKENIZER.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=("Cs",)), max_size=12).map(lambda w: w + "."), max_size=6))
+def test_any_text_gives_the_tokenizer_s_ids(words):
+    texts = [" ".join(words), *words, *(w[:-1] for w in words), *(w[:-1] + "," for w in words)]
+    want = [TOKENIZER.encode(x, add_special_tokens=False).ids for x in texts]
+    assert ids_by_word(texts) == want
+
+
+def test_dynamic_program_cuts_fewer_pieces_than_first_fit():
+    rng = random.Random(3)
+    lengths = [min(4000, int(rng.lognormvariate(5.5, 1))) + 1 for _ in range(3000)]
+    cuts = []
+    packer = packing.Packer(lambda piece, start, length, sequence, offset: cuts.append(start > 0))
+    for k, n in enumerate(lengths):
+        packer.add(k, n)
+    packer.finish()
+    room = first_fit = 0
+    for n in lengths:  # fill windows in order of arrival and cut at each window's end
+        if not room:
+            room = packing.CAPACITY
+        while n > room:
+            first_fit, n, room = first_fit + 1, n - room, packing.CAPACITY
+        room -= n
+    assert sum(cuts) < 0.2 * first_fit
