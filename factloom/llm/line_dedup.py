@@ -13,36 +13,31 @@ of one fingerprint differ are their windows written out and matched, once for ea
 
 Hot segments are pre-aggregated by hash and then joined, never paired with each other.
 
-``dedup_lines`` is the narrower form for whole lines: a line ends at a line feed or with a sentence (a
-word that ends in ``.``, ``!`` or ``?``, closing quotes aside); from every line on, the fewest lines
-that hold ``gram_words`` words form a gram, and unions of repeated grams of ``run_words`` words go.
-
 Defined cases: null texts stay null; texts without a repeated run stay as they are, to the byte;
 rows with equal doc_id and text are one place, so neither deletes from the other; rows without a
 doc_id come last, by the hash of their text; a text may lose all its words and is then empty; a run
 that repeats itself in place (as one word over and over) keeps its start up to the first repetition; an
 empty table gives no rows; other columns are kept, whatever their names.
+
+Rows are told apart by doc_id and a 64-bit hash of the text; those without a doc_id by 96 bits.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64, segment_ids, slices, table, words_of
+from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64, prepare, sealed, segment_ids, slices, table, words_of
 
 GRAM_WORDS = 16
 RUN_WORDS = 32
-END = r"[.!?][\"'\)\]»”’]*$"
-_BREAK = "\x01"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_END = re.compile(END)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,77 +47,6 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def grams_of(text: pa.Array, gram_words: int, run_words: int) -> dict[str, np.ndarray]:
-    """Grams of all texts in a row: doc, hash, from and to (word positions in the text), and whether it is selected."""
-    text = pc.fill_null(text, "")
-    if pc.any(pc.match_substring(text, _BREAK)).as_py():
-        text = pc.replace_substring(text, _BREAK, "\x02")
-    flat, offsets = words_of(pc.replace_substring(text, "\n", f" {_BREAK} "))
-    none = {k: np.zeros(0, np.int64) for k in ("doc", "hash", "from", "to", "selected")}
-    if not len(flat):
-        return none
-    coded = flat.dictionary_encode()
-    at = np.asarray(coded.indices)
-    is_break = pc.equal(coded.dictionary, _BREAK).to_numpy(zero_copy_only=False)[at]
-    ends = pc.match_substring_regex(coded.dictionary, END).to_numpy(zero_copy_only=False)[at]
-    word_hash = hash_strings(coded.dictionary)[at]
-    doc = segment_ids(offsets)
-    after = np.zeros(len(at), bool)  # a word after which a line ends
-    after[ends] = True
-    after[:-1] |= is_break[1:]
-    after[:-1] |= doc[1:] != doc[:-1]
-    after[-1] = True
-    real = ~is_break
-    doc, word_hash, after = doc[real], word_hash[real], after[real]
-    if not len(doc):
-        return none
-    first = np.flatnonzero(np.concatenate([[True], after[:-1]]))
-    size = np.diff(np.concatenate([first, [len(doc)]]))
-    inner = np.arange(len(doc)) - np.repeat(first, size)
-    line = mix64(np.add.reduceat(word_hash * _powers(int(_ODD), int(size.max()))[inner], first) + size.astype(np.uint64))
-    home = doc[first]
-    ending = first + size
-    n = len(line)
-
-    def last_line(words: int) -> np.ndarray:
-        """The line in which the given number of words from each line's start on is reached; n if there are fewer in the text."""
-        j = np.searchsorted(ending, first + words)
-        ok = (j < n) & (home[np.minimum(j, n - 1)] == home)
-        return np.where(ok, j, n)
-
-    last = last_line(gram_words)
-    grams = np.flatnonzero(last < n)
-    if not len(grams):
-        return none
-    powers, back = _powers(int(_ODD), n), _powers(pow(int(_ODD), -1, 2**64), n)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(line * powers, dtype=np.uint64)])
-    value = np.full(n, np.iinfo(np.uint64).max)
-    value[grams] = mix64((total[last[grams] + 1] - total[grams]) * back[grams])
-    # winnowing: for each start, the smallest of the grams that end within run_words words
-    final = last_line(run_words)
-    start = np.flatnonzero(final < n)
-    selected = np.zeros(n, bool)
-    if len(start):
-        until = np.searchsorted(last, final[start], side="right") - 1  # the last line ends never fall, texts end at n
-        until = np.maximum(until, start)
-        best, width = np.arange(n), 1
-        span = until - start + 1
-        left = np.full(len(start), -1)
-        while True:
-            use = (span >= width) & (span < 2 * width)
-            a, b = best[start[use]], best[until[use] - width + 1]
-            left[use] = np.where(value[b] < value[a], b, a)
-            if 2 * width > span.max():
-                break
-            other = best[np.minimum(np.arange(n) + width, n - 1)]
-            best = np.where(value[other] < value[best], other, best)
-            width *= 2
-        selected[left] = True
-    begin = offsets[:-1] - np.concatenate([[0], np.cumsum(is_break)])[offsets[:-1]]
-    zero = begin[home[grams]]
-    return {"doc": home[grams], "hash": value[grams].view(np.int64), "from": first[grams] - zero, "to": ending[last[grams]] - zero, "selected": selected[grams]}
-
-
 def _rolling(flat: pa.Array):
     """Hashes of spans of words, by first word and length."""
     coded = flat.dictionary_encode()
@@ -180,57 +104,20 @@ def without(text: str, ranges: list[tuple[int, int]]) -> str:
     return joined.rstrip(" \t\n\v\f\r") if at == len(text) else joined
 
 
-def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, ranges): word ranges [from, to) of each document that stand earlier elsewhere."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-
-    def lists(g: dict, rows: int, keep: np.ndarray, name: str, kind: pa.DataType) -> pa.Array:
-        count = np.bincount(g["doc"][keep].astype(np.int64), minlength=rows)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(g[name][keep], type=kind))
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            g = grams_of(column(b, "text"), gram_words, run_words)
-            keep = g["selected"].astype(bool)
-            at = pa.array(g["doc"][keep].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "text_hash").take(at), pa.array(g["hash"][keep], pa.int64())], ["doc_id", "text_hash", "print"])
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            g = grams_of(column(b, "text"), gram_words, run_words)
-            every = np.ones(len(g["doc"]), bool)
-            arrays = [lists(g, b.num_rows, every, n, k) for n, k in (("hash", pa.int64()), ("from", pa.int32()), ("to", pa.int32()))]
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "text_hash"), *arrays], ["doc_id", "text_hash", "gram", "gram_from", "gram_to"])
-
-    found = materialize(map_arrow(src, prints, f"doc_id {kind}, text_hash int, print long"), "winnow")
-    # tables of their own on one side of the joins, so that the skew of the other side can be split
-    shared = materialize(found.groupBy("print").count().where("count > 1").select("print"), "winnow-shared")
-    candidates = found.join(shared, "print", "left_semi").select("doc_id", "text_hash").distinct()
-    candidates = materialize(candidates, "winnow-candidates")
-    every = map_arrow(src, grams, f"doc_id {kind}, text_hash int, gram array<long>, gram_from array<int>, gram_to array<int>").where(F.size("gram") > 0)
-    c = candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"))
-    own = every.join(c, every["doc_id"].eqNullSafe(c["c_id"]) & (every["text_hash"] == c["c_hash"]), "left_semi")
-    rows = own.select("doc_id", "text_hash", F.inline(F.arrays_zip("gram", "gram_from", "gram_to")))
-    rows = materialize(rows.withColumnRenamed("gram_from", "from").withColumnRenamed("gram_to", "to"), "winnow-grams")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"), F.col("from"))
-    first = rows.groupBy("gram").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("gram", "first")
-    first = materialize(first, "winnow-first")
-    later = rows.join(first, "gram").where(place != F.col("first"))
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
-
-
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """(doc_id, text_hash, ranges): word ranges [from, to) of each document whose windows of ``run_words`` words all stand earlier."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
+    src = docs.select(F.col(id_col).alias("doc_id"), *_keys(id_col, text_col), F.col(text_col).alias("text"))
+    own = ["doc_id", "key", "key2"]
+    schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, key long, key2 int"
+
+    def of(b: pa.RecordBatch, at: np.ndarray) -> list[pa.Array]:
+        return [column(b, c).take(pa.array(at)) for c in own]
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             g = segments_of(column(b, "text"), gram_words, run_words)
-            at = pa.array(g["doc"])
             numbers = [pa.array(g[k], t) for k, t in (("print", pa.int64()), ("segment", pa.int64()), ("from", pa.int32()), ("windows", pa.int32()))]
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "text_hash").take(at), *numbers], ["doc_id", "text_hash", "print", "segment", "from", "windows"])
+            yield pa.RecordBatch.from_arrays([*of(b, g["doc"]), *numbers], [*own, "print", "segment", "from", "windows"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -243,74 +130,89 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             start = np.repeat(one.field("from").to_numpy(zero_copy_only=False).astype(np.int64), count) + inner
             row = np.repeat(row, count)
             value = _rolling(flat)(offsets[row] + start, run_words)
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id").take(at), column(b, "text_hash").take(at), pa.array(value.view(np.int64)), pa.array(start, pa.int32())], ["doc_id", "text_hash", "window", "from"])
+            yield pa.RecordBatch.from_arrays([*of(b, row), pa.array(value.view(np.int64)), pa.array(start, pa.int32())], [*own, "window", "from"])
 
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"), F.col("from"))
-    every = materialize(map_arrow(src, segments, f"doc_id {kind}, text_hash int, print long, segment long, `from` int, windows int"), "winnow")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), *own, F.col("from"))
+    every = materialize(map_arrow(src, segments, f"{schema}, print long, segment long, `from` int, windows int"), "winnow")
     # tables of their own on one side of the joins, so that the skew of the other side can be split
     shared = materialize(every.groupBy("print").count().where("count > 1").select("print"), "winnow-shared")
     hits = materialize(every.join(shared, "print", "left_semi"), "winnow-hits")
-    forget(every)
+    forget(every, shared)
     first = materialize(hits.groupBy("print", "segment", "windows").agg(F.min(place).alias("first")), "winnow-first")
     whole = hits.join(first.select("print", "segment", "first"), ["print", "segment"]).where(place != F.col("first"))
     several = materialize(first.groupBy("print").count().where("count > 1").select("print"), "winnow-several")
-    unlike = first.join(several, "print", "left_semi").select("first.doc_id", "first.text_hash", "first.from", "windows")
-    unlike = unlike.groupBy(F.col("doc_id").alias("o_id"), F.col("text_hash").alias("o_hash")).agg(F.collect_list(F.struct("from", "windows")).alias("open"))
-    unlike = materialize(unlike, "winnow-open")
-    read = src.join(unlike, src["doc_id"].eqNullSafe(unlike["o_id"]) & (src["text_hash"] == unlike["o_hash"])).select("doc_id", "text_hash", "text", "open")
-    rows = materialize(map_arrow(read, windows, f"doc_id {kind}, text_hash int, window long, `from` int"), "winnow-windows")
+    unlike = first.join(several, "print", "left_semi").select("first.*", "windows").groupBy(*own).agg(F.collect_list(F.struct("from", "windows")).alias("open"))
+    unlike = materialize(unlike.select(*[F.col(c).alias(f"o_{c}") for c in own], "open"), "winnow-open")
+    read = src.join(unlike, _same("o_"), "inner").select(*own, "text", "open")
+    rows = materialize(map_arrow(read, windows, f"{schema}, window long, `from` int"), "winnow-windows")
+    forget(several, unlike)
     earliest = rows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("window", "first")
-    part = rows.join(materialize(earliest, "winnow-earliest"), "window").where(place != F.col("first"))
+    earliest = materialize(earliest, "winnow-earliest")
+    part = rows.join(earliest, "window").where(place != F.col("first"))
     span = lambda n: F.struct(F.col("from"), (F.col("from") + n + F.lit(run_words - 1)).alias("to"))
-    ranges = whole.select("doc_id", "text_hash", span(F.col("windows")).alias("range")).unionByName(part.select("doc_id", "text_hash", span(F.lit(1)).alias("range")))
-    return ranges.groupBy("doc_id", "text_hash").agg(F.collect_set("range").alias("ranges"))
+    ranges = whole.select(*own, span(F.col("windows")).alias("range")).unionByName(part.select(*own, span(F.lit(1)).alias("range")))
+    found = materialize(ranges.groupBy(*own).agg(F.collect_set("range").alias("ranges")), "winnow-ranges")
+    forget(hits, first, rows, earliest)
+    return found
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """``docs`` with repeated runs of whole lines deleted from the text, and column _runs: what was deleted."""
-    return _delete(docs, repeated_ranges(docs, id_col, text_col, gram_words, run_words), id_col, text_col, run_words)
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    """Columns that tell rows of one doc_id apart; the second one only where there is none."""
+    return [F.xxhash64(F.col(text_col)).alias("key"), F.when(F.col(id_col).isNull(), F.hash(F.col(text_col))).alias("key2")]
 
 
-def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """``docs`` with all repeated runs of ``run_words`` words or more deleted from the text, and column _runs: what was deleted."""
-    return _delete(docs, repeated_windows(docs, id_col, text_col, gram_words, run_words), id_col, text_col, run_words)
+def _same(prefix: str, id_col: str = "doc_id") -> Column:
+    return F.col(id_col).eqNullSafe(F.col(f"{prefix}doc_id")) & (F.col("key") == F.col(f"{prefix}key")) & F.col("key2").eqNullSafe(F.col(f"{prefix}key2"))
 
 
-def _delete(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, run_words: int) -> DataFrame:
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("ranges").alias("_ranges"))
+def _deduped(docs: DataFrame, id_col: str, text_col: str, gram_words: int, run_words: int) -> tuple[DataFrame, Callable[..., DataFrame], str]:
+    """``docs``, sealed, with repeated runs deleted from the text, and columns cut (or null) and runs."""
+    found = repeated_windows(docs, id_col, text_col, gram_words, run_words)
+    found = found.select(*[F.col(c).alias(f"f_{c}") for c in ("doc_id", "key", "key2", "ranges")])
+    inner, (i, t), restore = sealed(docs, id_col, text_col)
 
     @F.arrow_udf("struct<text: string, runs: array<struct<`from`: int, `to`: int>>>")
     def delete(text: pa.Array, ranges: pa.Array) -> pa.Array:
         kind = pa.struct([("text", pa.string()), ("runs", pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))])
         out = []
-        for t, r in zip(text, ranges, strict=True):
-            if not t.is_valid or not r.is_valid:
+        for x, r in zip(text, ranges, strict=True):
+            if not x.is_valid or not r.is_valid:
                 out.append({"text": None, "runs": None})
                 continue
-            runs = merge_ranges([(x["from"], x["to"]) for x in r.as_py()], run_words)
-            out.append({"text": without(t.as_py(), runs) if runs else None, "runs": [{"from": a, "to": b} for a, b in runs]})
+            runs = merge_ranges([(y["from"], y["to"]) for y in r.as_py()], run_words)
+            out.append({"text": without(x.as_py(), runs) if runs else None, "runs": [{"from": a, "to": b} for a, b in runs]})
         return pa.array(out, kind)
 
     delete = delete.asNondeterministic()  # or Spark may evaluate it once for each use of its result
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (F.hash(docs[text_col]) == found["_hash"]), "left")
-    touched = F.when(F.col("_ranges").isNotNull(), F.col(text_col))
-    cut = joined.withColumn("_cut", delete(touched, F.col("_ranges")))
-    text = F.when(F.size("_cut.runs") > 0, F.col("_cut.text")).otherwise(F.col(text_col))
-    runs = F.coalesce(F.col("_cut.runs"), F.array().cast("array<struct<`from`: int, `to`: int>>"))
-    return cut.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], runs.alias("_runs"))
+    joined = inner.select("*", *_keys(i, t)).join(found, _same("f_", i), "left")
+    cut = joined.withColumn("cut", delete(F.when(F.col("f_ranges").isNotNull(), F.col(t)), F.col("f_ranges")))
+    runs = F.coalesce(F.col("cut.runs"), F.array().cast("array<struct<`from`: int, `to`: int>>"))
+    text = F.when(F.size("cut.runs") > 0, F.col("cut.text")).otherwise(F.col(t))
+    return cut.select(*[text.alias(c) if c == t else F.col(c) for c in inner.columns], runs.alias("runs")), restore, t
+
+
+def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS, runs_as: str = "_runs") -> DataFrame:
+    """``docs`` with all repeated runs of ``run_words`` words or more deleted from the text, and a last column: what was deleted."""
+    out, restore, _ = _deduped(docs, id_col, text_col, gram_words, run_words)
+    return restore(out, ("runs", runs_as))
+
 
+def stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """Documents without repeated runs; those that have lost all their words go.
 
-def stage(docs: DataFrame) -> DataFrame:
-    """Documents without repeated runs; those that have lost all their words go."""
-    out = dedup_runs(docs)
-    empty = (F.size("_runs") > 0) & (F.length("text") == 0)
-    return out.where(~empty).withColumn("n_chars", F.when(F.size("_runs") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    A column ``chars_col``, if there is one, gets the number of characters of a text that has lost runs.
+    """
+    out, restore, t = _deduped(docs, id_col, text_col, GRAM_WORDS, RUN_WORDS)
+    out = out.where((F.size("runs") == 0) | (F.length(t) > 0))
+    if chars_col in docs.columns:
+        n = f"c{docs.columns.index(chars_col)}"
+        out = out.withColumn(n, F.when(F.size("runs") > 0, F.length(t).cast(out.schema[n].dataType)).otherwise(F.col(n)))
+    return restore(out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the deleted runs as word ranges, and length and digest of what is left."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = dedup_runs(docs)
-    words = F.aggregate("_runs", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
-    return out.select("doc_id", F.size("_runs").alias("n_runs"), words.alias("n_words_deleted"), F.col("_runs").alias("runs"), F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    out = dedup_runs(docs, runs_as="runs")
+    words = F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + (r["to"] - r["from"]))
+    return out.select("doc_id", F.size("runs").alias("n_runs"), words.alias("n_words_deleted"), "runs", F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
