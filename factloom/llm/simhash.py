@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, forget, map_arrow, materialize, slices, table, words_of
+from ._shared import column, forget, map_arrow, materialize, prepare, sealed, slices, table, words_of
 
 SEED = 42
 SHINGLE = 3
@@ -42,13 +42,85 @@ def _pivots(n: int = PIVOTS) -> np.ndarray:
     return np.random.default_rng(20_231).integers(0, 2**64, n, dtype=np.uint64)
 
 
-def shingle_hashes(words: list[str], k: int = SHINGLE) -> list[int]:
-    """XXH64 of each k-word shingle, repeats included; of the whole sequence if it is shorter."""
-    h = xxhash.xxh64_intdigest
-    if len(words) < k:
-        return [h(" ".join(words), SEED)] if words else []
-    join = " ".join
-    return [h(join(t), SEED) for t in zip(*(words[i:] for i in range(k)), strict=False)]
+#: Fixed values of XXH64: its five primes.
+_P1, _P2, _P3, _P4, _P5 = map(np.uint64, (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+#: Longer strings are hashed one by one.
+_LONG = 256
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _turn(acc + lane * _P2, 31) * _P1
+
+
+def xxh64_spans(data: bytes, begin: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of ``data[begin : begin + size]`` for all spans, those of one size at once."""
+    out = np.empty(len(begin), np.uint64)
+    padded = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded.data, strides=(1,))
+    kind = np.minimum(size, _LONG + 1).astype(np.int16)
+    order = np.argsort(kind, kind="stable")
+    cuts = np.flatnonzero(np.diff(kind[order])) + 1
+    for own in np.split(order, cuts) if len(order) else ():
+        n, at = int(kind[own[0]]), begin[own]
+        if n > _LONG:
+            ends = at + size[own]
+            out[own] = [xxhash.xxh64_intdigest(data[a:b], seed) for a, b in zip(at.tolist(), ends.tolist(), strict=True)]
+            continue
+        start = np.full(len(own), seed, np.uint64)
+        if n >= 32:
+            acc = [start + _P1 + _P2, start + _P2, start, start - _P1]
+            for stripe in range(n // 32):
+                acc = [_round(v, eight[at + (32 * stripe + 8 * k)]) for k, v in enumerate(acc)]
+            h = sum((_turn(v, k) for v, k in zip(acc[1:], (7, 12, 18), strict=True)), _turn(acc[0], 1))
+            for v in acc:
+                h = (h ^ _round(np.uint64(0), v)) * _P1 + _P4
+        else:
+            h = start + _P5
+        h = h + np.uint64(n)
+        done = n - n % 32
+        while n - done >= 8:
+            h = _turn(h ^ _round(np.uint64(0), eight[at + done]), 27) * _P1 + _P4
+            done += 8
+        if n > done:
+            rest = eight[at + done]
+            if n - done >= 4:
+                h = _turn(h ^ (rest & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+                rest = rest >> np.uint64(32)
+                done += 4
+            for _ in range(n - done):
+                h = _turn(h ^ (rest & np.uint64(0xFF)) * _P5, 11) * _P1
+                rest = rest >> np.uint64(8)
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        out[own] = h ^ (h >> np.uint64(32))
+    return out
+
+
+def shingle_hashes(text: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of the k-word shingles of all texts in a row, repeats included (of the whole text if it has fewer words), and each text's offsets into them.
+
+    Words joined by one space each make every shingle a span of the joined text.
+    """
+    flat, offsets = words_of(text, lower=True)
+    n = np.diff(offsets)
+    count = np.where(n, np.maximum(n - (k - 1), 1), 0)
+    ends = np.concatenate([[0], np.cumsum(count)])
+    if not len(flat):
+        return np.zeros(0, np.uint64), ends
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(offsets, flat), " ").cast(pa.large_binary())
+    texts = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1]
+    size = pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
+    before = np.cumsum(size) - size
+    full = np.concatenate([[0], np.cumsum(n > 0)])[:-1]  # each text that has words has one space fewer than words
+    begin = before + np.arange(len(size)) - np.repeat(full, n)
+    first = np.repeat(offsets[:-1], count) + np.arange(int(ends[-1])) - np.repeat(ends[:-1], count)
+    last = np.minimum(first + k, np.repeat(offsets[1:], count)) - 1
+    assert texts[0] == 0
+    return xxh64_spans(joined.buffers()[2].to_pybytes(), begin[first], begin[last] + size[last] - begin[first]), ends
 
 
 def majority_bits(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -77,12 +149,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            flat, offsets = words_of(column(b, "text"), lower=True)
-            words, hashes, ends = flat.to_pylist(), [], [0]
-            for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                hashes += shingle_hashes(words[lo:hi])
-                ends.append(len(hashes))
-            fp = majority_bits(np.array(hashes, dtype=np.uint64), np.array(ends, dtype=np.int64))
+            fp = majority_bits(*shingle_hashes(column(b, "text")))
             yield pa.RecordBatch.from_arrays([column(b, "doc_id"), column(b, "text_hash"), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
@@ -246,22 +313,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = joined.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
-    return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id", "root", "text_hash")
+    found = materialize(fps.join(named, "fp", "left").select("doc_id", "fp", "component_id", "root", "text_hash"), "simhash-found")
+    forget(fps, groups, roots)
+    return found
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay: of each group that with the smallest doc_id (null last), and of repeated rows one."""
-    found = materialize(near_duplicates(docs, id_col, text_col, max_bits), "simhash-found")
+    found = near_duplicates(docs, id_col, text_col, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    stay = found.groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.doc_id").alias("_id"), F.col("s.text_hash").alias("_hash"))
-    marked = docs.withColumn("_text_hash", F.xxhash64(text_col))
-    out = marked.join(stay, marked[id_col].eqNullSafe(stay["_id"]) & (marked["_text_hash"] == stay["_hash"]), "left_semi")
-    repeated = found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty() is False
+    stay = materialize(found.groupBy("root").agg(F.min(order).alias("s")).select(F.col("s.doc_id").alias("stay_id"), F.col("s.text_hash").alias("stay_hash")), "simhash-stay")
+    repeated = not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
+    forget(found)
+    inner, (i, t), restore = sealed(docs, id_col, text_col)
+    marked = inner.withColumn("hash", F.xxhash64(t))
+    out = marked.join(stay, F.col(i).eqNullSafe(F.col("stay_id")) & (F.col("hash") == F.col("stay_hash")), "left_semi")
     if repeated:
-        out = out.dropDuplicates([id_col, "_text_hash"])
-    return out.drop("_text_hash")
+        out = out.dropDuplicates([i, "hash"])
+    return restore(out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(prepare(spark), sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -97,3 +97,12 @@ def test_keep_one(spark, documents, make):
     kept = simhash.keep_one(documents(rows, extra=True))
     assert kept.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 2, 9, 11]
+
+
+def test_hashes_of_spans_are_xxh64(rng):
+    data = bytes(rng.randrange(256) for _ in range(5000))
+    size = [*range(300), *(rng.randint(0, 400) for _ in range(500))]
+    begin = [rng.randint(0, len(data) - n) for n in size]
+    got = simhash.xxh64_spans(data, np.array(begin), np.array(size))
+    assert got.tolist() == [xxhash.xxh64_intdigest(data[a : a + n], 42) for a, n in zip(begin, size, strict=True)]
+    assert len(simhash.xxh64_spans(b"", np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
