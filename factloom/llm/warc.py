@@ -5,16 +5,23 @@ read from any record's start. Of records with equal payloads the one with the sm
 response and the others are revisits that refer to it and carry HTTP headers only.
 
 The ``warc`` source plans byte-balanced file partitions on the driver and reads them on executors.
-Filters on record_type and on the header columns are pushed down: a record's header block is parsed
-first, and a record that fails is passed over without its block being decoded. Without filters on
-the payload, ``payload=false`` leaves payloads undecoded as well.
+``read_archives`` pushes filters on record_type and on the header columns down to it: a record's header
+block is parsed first, and a record that fails is passed over without its block being decoded (gzip
+members are inflated piece by piece all the same, as only that shows where they end). Without filters
+on the payload, ``payload=false`` leaves payloads undecoded as well.
+
+What a response is said to hold is taken from the payload that was read: its length and digest are
+columns of the source. A revisit has neither; ``read_back`` looks them up in the response that it names.
+An archive that ends inside a record, or whose lengths are no numbers, fails the read, with file and offset.
 
 Files are reached through ``open`` for local and file:// paths, and through Arrow's file systems
 for other schemes.
 
 Defined cases: a null payload is the empty payload; a null id writes an empty id, reads back as null,
 and never stands for a group that has an id; rows that repeat the smallest id are all responses; an
-empty table gives no archives and no rows; other columns are never read.
+empty table gives no archives and no rows; other columns are never read. A payload that was altered in
+its archive reads back with its own length and digest; a revisit whose response is missing or has another
+digest than the revisit names has null for both.
 """
 
 from __future__ import annotations
@@ -38,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith
 from pyspark.sql.types import StructType
 
-from ._shared import column, map_arrow, scratch_path, slices, table
+from ._shared import column, drop_path, map_arrow, materialize, prepare, scratch_path, slices, table
 
 VERSION = "WARC/1.1"
 #: Payloads of at least so many bytes are written once, and revisited after that.
@@ -60,7 +67,7 @@ FIELDS = {
     "refers_to": "WARC-Refers-To",
     "content_type": "Content-Type",
 }
-SCHEMA = ", ".join(f"{c} string" for c in FIELDS) + ", content_length long, payload_bytes long, payload binary, path string, offset long"
+SCHEMA = ", ".join(f"{c} string" for c in FIELDS) + ", content_length long, payload_bytes long, read_digest string, payload binary, path string, offset long"
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -142,7 +149,7 @@ class _Stream:
         self.data, self.at = bytearray(), 0
         self.passed = 0
         self.inflate = zlib.decompressobj(31) if gzipped else None
-        self.ended = False
+        self.ended = self.begun = False
 
     def more(self) -> bool:
         if self.ended:
@@ -157,11 +164,11 @@ class _Stream:
             self.at = 0
         while self.gzipped and chunk:
             self.data += self.inflate.decompress(chunk)
-            chunk = self.inflate.unused_data
-            if self.inflate.eof:
-                self.inflate = zlib.decompressobj(31)
-            else:
+            self.begun = not self.inflate.eof
+            if self.begun:
                 break
+            chunk = self.inflate.unused_data
+            self.inflate = zlib.decompressobj(31)
         if not self.gzipped:
             self.data += chunk
         return True
@@ -181,20 +188,29 @@ class _Stream:
             begin -= offset - self.at
 
     def take(self, n: int, keep: bool) -> bytes | None:
-        """The next n bytes; if they aren't wanted they are dropped as they come."""
+        """The next n bytes, or None if there are fewer; if they aren't wanted they are dropped as they come, and an empty string stands for them."""
         if keep:
             while len(self.data) - self.at < n and self.more():
                 pass
+            if len(self.data) - self.at < n:
+                return None
             out = bytes(self.data[self.at : self.at + n])
-            self.at += len(out)
+            self.at += n
             return out
         while n:
             step = min(n, len(self.data) - self.at)
             self.at += step
             n -= step
             if n and not self.more():
-                break
-        return None
+                return None
+        return b""
+
+    def left(self) -> bytes:
+        return bytes(self.data[self.at :])
+
+    def whole(self) -> bool:
+        """Whether no gzip member is cut short."""
+        return not self.begun
 
 
 def parse_headers(block: bytes) -> dict[str, str]:
@@ -213,13 +229,15 @@ def parse_headers(block: bytes) -> dict[str, str]:
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path", "")
+        self.pushdown = str(options.get("pushdown", "false")).lower() == "true"
         self.payload = str(options.get("payload", "true")).lower() != "false"
         self.partition_bytes = int(options.get("partitionbytes", options.get("partitionBytes", PARTITION_BYTES)))
         self.filters: list[tuple[str, str, tuple]] = []
 
     def pushFilters(self, filters):
+        # Spark keeps what was pushed in the loaded table, where other queries over it would meet it: only on request
         for f in filters:
-            name = f.attribute[0] if len(f.attribute) == 1 else None
+            name = f.attribute[0] if self.pushdown and len(f.attribute) == 1 else None
             if name in FIELDS and isinstance(f, EqualTo):
                 self.filters.append((name, "in", (f.value,)))
             elif name in FIELDS and isinstance(f, In):
@@ -260,31 +278,40 @@ class WarcReader(DataSourceReader):
             start = stream.passed + stream.at
             block = stream.until(b"\r\n\r\n")
             if block is None:
+                if stream.left().strip():
+                    raise EOFError(f"{path} ends inside the headers of a record at {start}")
+                if not stream.whole():
+                    raise EOFError(f"{path} ends inside a gzip member after {start}")
                 return
             fields = parse_headers(block)
+            if not fields.get("content-length", "0").isdigit():
+                raise ValueError(f"{path}: the record at {start} has Content-Length {fields['content-length']!r}")
             length = int(fields.get("content-length", 0))
             row = {c: fields.get(f.lower()) or None for c, f in FIELDS.items()}
             if row["payload_digest"]:
                 row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
             wanted = self._passes(row)
             block = stream.take(length, wanted)
+            if block is None:
+                raise EOFError(f"{path} ends inside the record at {start}")
             stream.take(4, False)
             if not wanted:
                 continue
-            row |= {"content_length": length, "payload_bytes": length, "payload": None, "path": path, "offset": start}
+            row |= {"content_length": length, "payload_bytes": None, "read_digest": None, "payload": None, "path": path, "offset": start}
             at = 0
             if (row["content_type"] or "").startswith("application/http"):
                 end = block.find(b"\r\n\r\n")
-                http = parse_headers(block[:end]) if end >= 0 else {}
                 at = end + 4 if end >= 0 else length
-                row["payload_bytes"] = int(http["content-length"]) if http.get("content-length", "").isdigit() else length - at
-            if self.payload and row["record_type"] != "revisit":
-                row["payload"] = block[at:]
+            if row["record_type"] != "revisit":
+                row["payload_bytes"] = length - at
+                if self.payload:
+                    row["payload"] = block[at:]
+                    row["read_digest"] = digest(row["payload"])
             yield row
 
     def read(self, partition):
         fs, _ = file_system(self.path)
-        schema = pa.schema([(c, pa.string()) for c in FIELDS] + [("content_length", pa.int64()), ("payload_bytes", pa.int64()), ("payload", pa.binary()), ("path", pa.string()), ("offset", pa.int64())])
+        schema = pa.schema([(c, pa.string()) for c in FIELDS] + [("content_length", pa.int64()), ("payload_bytes", pa.int64()), ("read_digest", pa.string()), ("payload", pa.binary()), ("path", pa.string()), ("offset", pa.int64())])
         rows, size = [], 0
         for path in partition.files:
             with fs.open_input_stream(path, compression=None) as raw:
@@ -299,9 +326,9 @@ class WarcReader(DataSourceReader):
 
 
 class WarcDataSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; options: payload (true), partitionBytes.
+    """``spark.read.format("warc").load(folder)``; options: payload (true), partitionBytes, pushdown (false).
 
-    Load anew for each filtered query, or use ``read_archives``, whose result may be used many times.
+    Filters run in Spark unless ``pushdown`` is true, and then a loaded table serves one query only; see ``read_archives``.
     """
 
     @classmethod
@@ -322,9 +349,8 @@ def read_archives(spark: SparkSession, path: str, where: Column | str | None = N
     result later run in Spark, above the metric ``warc_records``, which must see every row: Spark keeps the
     filters once pushed to a Python source in the loaded table, where other queries over it would meet them.
     """
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
-    reader = spark.read.format("warc")
+    reader = spark.read.format("warc").option("pushdown", "true")
     for k, v in options.items():
         reader = reader.option(k, v)
     records = reader.load(path)
@@ -336,26 +362,28 @@ def read_archives(spark: SparkSession, path: str, where: Column | str | None = N
 def read_back(spark: SparkSession, path: str) -> DataFrame:
     """A row per response or revisit: its id, and length and digest of the full payload.
 
-    A response's digest is computed from the payload that was read; a revisit's is its header's.
+    A response's are those of the payload that was read. Revisits meet the response that they name by its
+    id and digest; responses are pre-aggregated, and the join's skew is split.
     """
     got = read_archives(spark, path, F.col("record_type").isin("response", "revisit"))
-    return got.select("record_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", F.octet_length("payload").alias("stored_bytes"), F.sha1("payload").alias("stored_sha1"))
+    got = got.select("record_id", "record_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "read_digest")
+    responses = got.where("record_type = 'response'")
+    named = responses.groupBy(F.col("record_id").alias("r_id"), F.col("read_digest").alias("r_digest")).agg(F.max("payload_bytes").alias("r_bytes"))
+    revisits = got.where("record_type = 'revisit'")
+    found = revisits.join(named, (F.col("refers_to") == F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")), "left")
+    columns = ["record_id", "record_type", "refers_to", "target_uri"]
+    return responses.select(*columns, F.col("read_digest").alias("payload_digest"), "payload_bytes").unionByName(
+        found.select(*columns, F.col("r_digest").alias("payload_digest"), F.col("r_bytes").alias("payload_bytes"))
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "warc")
+    path = scratch_path(prepare(spark), "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
 
     def number(c: str):
-        return F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1)
-
-    got = read_back(spark, path)
-    return got.select(
-        F.nullif(number("record_id"), F.lit("")).cast("long").alias("page_id"),
-        "payload_bytes",
-        "payload_digest",
-        "record_type",
-        F.nullif(number("refers_to"), F.lit("")).cast("long").alias("refers_to"),
-        "stored_bytes",
-        "stored_sha1",
-    )
+        return F.nullif(F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1), F.lit("")).cast("long")
+
+    got = materialize(read_back(spark, path), "warc-read")
+    drop_path(spark, path)
+    return got.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
