@@ -4,11 +4,13 @@ A text's bytes are cut into windows of ``window`` bytes. Filters of several widt
 window's bytes (a filter is a table of a number per byte value and tap, so a convolution is a sum
 of look-ups), are max-pooled over the window, rectified, and classified by softmax. A text's
 prediction is the mean of its windows' distributions, weighted by their letters; every window of a
-text counts. The network is trained on the driver on a bounded sample: ``max_documents`` labelled
-documents in hash order, and ``windows_per_document`` windows of each, spread over its text.
+text counts. The network is trained on the driver on a bounded sample: ``max_documents`` different
+labelled rows in hash order, and ``windows_per_document`` windows of each, spread over its text.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; a null language label is
-not learned from; a null doc_id is neither held out nor learned from; repeated rows give equal rows;
+not learned from; a null doc_id is neither held out nor learned from; repeated rows give equal rows and
+count once in the sample, ids that are repeated with other texts or labels once for each; of classes
+that are equally likely the first by name is given;
 an empty table gives no rows; without any usable label every text is ``und``; other columns are
 never read.
 """
@@ -24,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, map_arrow, slices, table
+from ._shared import column, map_arrow, prepare, slices, table
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -151,7 +153,7 @@ def predict(net: Network, text: pa.Array, window: int = WINDOW) -> tuple[list[st
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", order_col: str = "doc_id", max_documents: int = MAX_DOCUMENTS, windows_per_document: int = WINDOWS_PER_DOCUMENT, window: int = WINDOW) -> Network | None:
-    """Train on a bounded sample of the rows given: the first ``max_documents`` by the hash of ``order_col``.
+    """Train on a bounded sample of the rows given: the first ``max_documents`` different ones by the hash of ``order_col``.
 
     What reaches the driver are at most ``max_documents * windows_per_document`` windows.
     """
@@ -168,12 +170,14 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", ord
             lang, key = column(b, "lang").take(pa.array(doc)), column(b, "key").take(pa.array(doc))
             yield pa.RecordBatch.from_arrays([lang, key, pa.array([w.tobytes() for w in windows[take]], pa.binary())], ["lang", "key", "bytes"])
 
-    keyed = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(order_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(order_col)).alias("key"))
-    # ids are chosen without their texts; the few that are chosen are then joined back
-    chosen = keyed.orderBy("key", "id").limit(max_documents).select(F.col("id").alias("chosen_id"), "key")
-    small = F.broadcast(chosen.distinct())
-    texts = labelled.select(F.col(order_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text is not null and lang is not null")
-    rows = map_arrow(texts.join(small, texts["id"] == F.col("chosen_id")).select("lang", "key", "text"), run, "lang string, key long, bytes binary").collect()
+    known = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(order_col).isNotNull())
+    known = known.select(F.col(order_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
+    own = ["id", "lang", "digest"]
+    # rows are chosen without their texts; those that are chosen are then joined back, each once however often it is repeated
+    chosen = known.select(F.xxhash64("id").alias("key"), *own).distinct().orderBy("key", *own).limit(max_documents)
+    small = F.broadcast(chosen)  # at most max_documents rows of four short values
+    sample = known.join(small, own).dropDuplicates(own).select("lang", "key", "text")
+    rows = map_arrow(sample, run, "lang string, key long, bytes binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.key, r.lang, bytes(r.bytes)))
@@ -198,7 +202,7 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(prepare(spark), sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     net = fit(docs.where(~held_out))
     return identify(docs, net).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -10,14 +10,16 @@ sum over its matched patterns of pattern weight times lexicon weight, bent by a
 long texts do not score by length alone.
 
 The insult lexicon and the weights are learned from labelled rows: word beginnings of 4 letters or
-more that stand in toxic documents far more often than in others. What is learned from is a bounded
-sample, the first ``max_documents`` labelled documents in hash order; their word beginnings are
-counted on the executors, and at most ``max_lexicon`` entries come to the driver.
+more, and whole words of fewer letters, that stand in toxic documents far more often than in others.
+What is learned from is a bounded sample, the first ``max_documents`` different labelled rows in hash
+order; their word beginnings are counted on the executors. An entry stands in the share ``MIN_SHARE`` of
+the sample's toxic documents at least, so the lexicon has at most the mean number of different beginnings
+of a toxic document divided by that share; there is no other limit.
 
 Defined cases: null and empty texts have no pattern and get the base score; null labels and null
 doc_ids are not learned from; rows without a doc_id are not held out; a repeated row is scored like
-the first; without a labelled toxic row every score is 0; empty tables give no rows; other columns
-are never read.
+the first and counts once in the sample; an id that is labelled twice is toxic if either label says so;
+without a labelled toxic row every score is next to 0; empty tables give no rows; other columns are never read.
 """
 
 from __future__ import annotations
@@ -34,14 +36,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, hash_strings, map_arrow, materialize, mix64, slices, table, words_of
+from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64, prepare, slices, table, words_of
 
 MAX_DOCUMENTS = 8000
-MAX_LEXICON = 2000
 #: A lexicon entry stands in so many toxic documents of the sample, and in this share of them.
 MIN_TOXIC = 6
 MIN_SHARE = 0.015
 MIN_PRECISION = 0.8
+#: Lengths of word beginnings; a shorter word is an entry as a whole.
 PREFIXES = (4, 5, 6, 7, 8)
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
@@ -164,10 +166,10 @@ def matches(text: pa.Array, lexicon: dict[str, float], rules: Grammar) -> np.nda
     if lexicon:
         entries = pa.array(list(lexicon), pa.string())
         values = np.array(list(lexicon.values()))
-        best = np.zeros(len(word))
-        for n in PREFIXES:
-            slot = pc.index_in(pc.utf8_slice_codeunits(word, 0, n), entries)
-            hit = pc.is_valid(slot).to_numpy(zero_copy_only=False) & (pc.utf8_length(word).to_numpy(zero_copy_only=False) >= n)
+        best, letters = np.zeros(len(word)), pc.utf8_length(word).to_numpy(zero_copy_only=False)
+        for n in (*PREFIXES, 0):
+            slot = pc.index_in(pc.utf8_slice_codeunits(word, 0, n) if n else word, entries)
+            hit = pc.is_valid(slot).to_numpy(zero_copy_only=False) & (letters >= n if n else letters < PREFIXES[0])
             found = pc.fill_null(slot, 0).to_numpy(zero_copy_only=False)
             best = np.where(hit, np.maximum(best, values[found]), best)
         symbol[best > 0] = INSULT
@@ -196,8 +198,8 @@ def matches(text: pa.Array, lexicon: dict[str, float], rules: Grammar) -> np.nda
 
 
 def beginnings(words: list[str]) -> set[str]:
-    """All beginnings of 4 to 8 letters of words of letters."""
-    return {w[:n] for w in words if w.isalpha() for n in PREFIXES if len(w) >= n}
+    """All beginnings of 4 to 8 letters of words of letters, and shorter words."""
+    return {w[:n] for w in words if w.isalpha() for n in PREFIXES if len(w) >= n or n == PREFIXES[0]}
 
 
 def sketches(text: pa.Array) -> np.ndarray:
@@ -220,7 +222,7 @@ def sketches(text: pa.Array) -> np.ndarray:
     return out
 
 
-def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, max_lexicon: int = MAX_LEXICON) -> dict[str, float]:
+def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Beginnings with the weight of their evidence; a longer one is left out where a shorter one covers it."""
     found = {}
     for w, pos, neg in counts:
@@ -237,8 +239,7 @@ def learn_lexicon(counts: list[tuple[str, int, int]], toxic: int, clean: int, ma
         shorter = [w[:n] for n in PREFIXES if n < len(w) and w[:n] in out]
         if not any(out[s] >= lift - 0.5 for s in shorter):
             out[w] = lift
-    best = sorted(out, key=lambda w: (-out[w] * found[w][1], w))[:max_lexicon]
-    return {w: out[w] / 4 for w in sorted(best)}
+    return {w: out[w] / 4 for w in sorted(out)}
 
 
 def train_weights(strength: np.ndarray, toxic: np.ndarray, steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -258,28 +259,35 @@ def train_weights(strength: np.ndarray, toxic: np.ndarray, steps: int = 400, rat
     return theta[:-1], float(theta[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_documents: int = MAX_DOCUMENTS, max_lexicon: int = MAX_LEXICON) -> Model:
-    """Learn from the first ``max_documents`` rows of ``labels`` in the order of their id's hash."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_documents: int = MAX_DOCUMENTS) -> Model:
+    """Learn from the first ``max_documents`` different labelled rows in the order of their id's hash."""
     named = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic"))
-    chosen = named.groupBy("label_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("label_id"), "label_id").limit(max_documents)
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    sample = materialize(src.join(F.broadcast(chosen), src["doc_id"] == F.col("label_id")).select("label_id", "toxic", "text"), "toxic-sample")
+    named = named.groupBy("label_id").agg(F.max("toxic").alias("toxic"))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null").withColumn("digest", F.xxhash64("text"))
+    # rows are chosen without their texts; those that are chosen are then joined back, each once however often it is repeated
+    rows = src.select("doc_id", "digest").distinct().join(named, F.col("doc_id") == F.col("label_id"))
+    chosen = rows.select("label_id", F.col("digest").alias("label_digest"), "toxic").orderBy(F.xxhash64("label_id"), "label_id", "label_digest").limit(max_documents)
+    small = F.broadcast(chosen)  # at most max_documents rows of three numbers
+    sample = src.join(small, (F.col("doc_id") == F.col("label_id")) & (F.col("digest") == F.col("label_digest"))).dropDuplicates(["doc_id", "digest"])
+    sample = materialize(sample.select("label_id", "digest", "toxic", "text"), "toxic-sample")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([column(b, "label_id"), pa.array(sketches(column(b, "text")).view(np.int64).tolist(), pa.list_(pa.int64()))], ["label_id", "sketch"])
+            yield pa.RecordBatch.from_arrays([column(b, "label_id"), column(b, "digest"), pa.array(sketches(column(b, "text")).view(np.int64).tolist(), pa.list_(pa.int64()))], ["label_id", "digest", "sketch"])
 
     # copies would count the same evidence many times: of rows that share a sketch value, one is counted
     kind = sample.schema["label_id"].dataType.simpleString()
     seen, single = set(), []
-    for r in sorted(map_arrow(sample.select("label_id", "text"), sketch, f"label_id {kind}, sketch array<long>").collect(), key=lambda r: str(r.label_id)):
+    sketched = map_arrow(sample.select("label_id", "digest", "text"), sketch, f"label_id {kind}, digest long, sketch array<long>").collect()  # max_documents rows
+    for r in sorted(sketched, key=lambda r: (str(r.label_id), r.digest)):
         if not seen.intersection(r.sketch):
-            single.append((r.label_id,))
+            single.append((r.label_id, r.digest))
         seen.update(r.sketch)
     if not single:
         return Model()
-    kept = docs.sparkSession.createDataFrame(single, f"kept_id {kind}")
-    evidence = sample.join(F.broadcast(kept), F.col("label_id") == F.col("kept_id"), "left_semi").select("toxic", "text")
+    kept = docs.sparkSession.createDataFrame(single, f"kept_id {kind}, kept_digest long")
+    same = (F.col("label_id") == F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    evidence = sample.join(F.broadcast(kept), same, "left_semi").select("toxic", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
@@ -303,13 +311,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield out()
 
     counts = map_arrow(evidence, count, "word string, pos long, neg long").groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = materialize(counts.where(f"pos >= {MIN_TOXIC} or word = ''"), "toxic-counts")
     totals = counts.where("word = ''").first()
     toxic, clean = (totals.pos, totals.neg) if totals else (0, 0)
     if not toxic:
+        forget(sample, counts)
         return Model()
     precise = (F.col("pos") / toxic) >= MIN_PRECISION * (F.col("pos") / toxic + F.col("neg") / max(clean, 1))
-    strong = counts.where(precise & (F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * toxic)) & (F.col("word") != "")).orderBy(F.desc("pos"), "word").limit(20 * max_lexicon)
-    lexicon = learn_lexicon([tuple(r) for r in strong.collect()], toxic, clean, max_lexicon)
+    strong = counts.where(precise & (F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * toxic)) & (F.col("word") != "")).orderBy(F.desc("pos"), "word")
+    lexicon = learn_lexicon([tuple(r) for r in strong.collect()], toxic, clean)
     rules = grammar()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,13 +329,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     rows = map_arrow(sample.select("toxic", "text"), measure, "toxic int, strength array<double>").collect()  # max_documents rows of 16 numbers
     rows.sort()
+    forget(sample, counts)
     weights, bias = train_weights(np.array([r.strength for r in rows]), np.array([r.toxic for r in rows]))
     return Model(lexicon, weights, bias)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, n_matches), one row per document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_lexicon entries
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # its lexicon is bounded by MIN_SHARE
     rules = grammar()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +350,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = fit(docs, labels.where(~held_out))
     out = score(docs, model)
