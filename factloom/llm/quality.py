@@ -22,8 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from ._shared import column, map_arrow, mix64, segment_ids, segment_sum, slices, table, words_of
+from ._shared import column, map_arrow, mix64, prepare, sealed, segment_ids, segment_sum, slices, table, words_of
 
 WINDOW = 3
 MIN_WORDS = 50
@@ -32,9 +33,9 @@ SYMBOLS = b"#*$%&|<>"
 #: A repeated string counts from this many words on.
 MIN_REPEAT = 6
 #: Largest share of a document's words inside repeated strings.
-MAX_COVERED = 0.45
+MAX_COVERED = 0.25
 #: Most words of the longest repeated string.
-MAX_LONGEST = 100
+MAX_LONGEST = 40
 
 
 def _symbols(text: pa.Array) -> np.ndarray:
@@ -175,37 +176,37 @@ def measure(text: pa.Array, min_repeat: int = MIN_REPEAT) -> dict[str, np.ndarra
 
 
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat")
+VERDICTS = ("base_failed", "covered_failed", "longest_failed", "kept")
 
 
-def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST, min_repeat: int = MIN_REPEAT, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Counts and verdict of each document; ``keep``: columns of ``docs`` to carry along, as keep_<name>."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
-    kept = [f"keep_{c}" for c in keep]
+def _judged(docs: DataFrame, text_col: str, carry: list[str], min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST, min_repeat: int = MIN_REPEAT) -> DataFrame:
+    """Counts and verdicts of each document, after the columns of ``docs`` to carry along."""
+    src = docs.select(*carry, F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             m = measure(column(b, "text"), min_repeat)
             n = m["n_words"]
             failed = (n < min_words) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-            bad = (m["n_covered"] > max_covered * n) | (m["longest_repeat"] > max_longest)
-            arrays = [column(b, "doc_id"), *(pa.array(m[c].astype(np.int64)) for c in COLUMNS), pa.array(failed), pa.array(~failed & ~bad)]
-            yield pa.RecordBatch.from_arrays([*arrays, *(column(b, c) for c in kept)], ["doc_id", *COLUMNS, "base_failed", "kept", *kept])
+            covered, longest = m["n_covered"] > max_covered * n, m["longest_repeat"] > max_longest
+            arrays = [*(pa.array(m[c].astype(np.int64)) for c in COLUMNS), *map(pa.array, (failed, covered, longest, ~(failed | covered | longest)))]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(b.num_columns - 1)), *arrays], [*carry, *COLUMNS, *VERDICTS])
 
-    kinds = {f.name: f.dataType.simpleString() for f in src.schema}
-    schema = ", ".join([f"doc_id {kinds['doc_id']}", *(f"{c} long" for c in COLUMNS), "base_failed boolean", "kept boolean", *(f"`{c}` {kinds[c]}" for c in kept)])
-    return map_arrow(src, run, schema)
+    fields = [*(StructField(c, LongType()) for c in COLUMNS), *(StructField(c, BooleanType()) for c in VERDICTS)]
+    return map_arrow(src, run, StructType([*src.schema.fields[:-1], *fields]))
 
 
 def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per document: the counts, base_failed and kept."""
-    return _judged(docs, id_col, text_col, **options)
+    """One row per document: the counts, base_failed, what each of the method's limits says, and kept."""
+    inner, (i, t), _ = sealed(docs, id_col, text_col)
+    return _judged(inner, t, [i], **options).withColumnRenamed(i, "doc_id")
 
 
-def filter_documents(docs: DataFrame, **options) -> DataFrame:
+def filter_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that pass, with their columns, in one pass."""
-    found = _judged(docs, keep=tuple(docs.columns), **options).where("kept")
-    return found.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+    inner, (t,), restore = sealed(docs, text_col)
+    return restore(_judged(inner, t, inner.columns, **options).where("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules(table(spark, sf_dir, "documents"))
+    return rules(table(prepare(spark), sf_dir, "documents"))
