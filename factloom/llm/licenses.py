@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import table
+from ._shared import prepare, table
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Fixed values of the contract: phrase and label.
@@ -122,7 +122,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(prepare(spark), sf_dir, "documents"))
 
 
 def _values(rows) -> str:

@@ -17,4 +17,4 @@ QUERIES = {
     "op10_toxicity": toxicity.query,
 }
 
-ORACLES = {"op7_license_scan": licenses.ORACLE_SQL}
+ORACLES = {"op3_chat_quotation_linking": chat.ORACLE_SQL, "op7_license_scan": licenses.ORACLE_SQL}
