@@ -10,36 +10,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Relation types and their kinds.
-RELATION_TYPES = {
-    "RUNS_ON": "EXCLUSIVE",
-    "LISTENS_ON": "EXCLUSIVE",
-    "LOCATED_IN": "EXCLUSIVE",
-    "CONFIGURED_WITH": "EXCLUSIVE",
-    "MANAGED_BY": "EXCLUSIVE",
-    "REPLACED_BY": "TEMPORAL",
-    "STORES_DATA_IN": "CUMULATIVE",
-    "USES": "CUMULATIVE",
-    "DEPENDS_ON": "CUMULATIVE",
-    "HAS_ACCESS_TO": "CUMULATIVE",
-    "PART_OF": "CUMULATIVE",
-    "SERVES_DOMAIN": "CUMULATIVE",
-    "AUTHORED": "CUMULATIVE",
-    "CAUSED": "CUMULATIVE",
-    "RULE_FOR": "CUMULATIVE",
-    "TRIED_AND_FAILED": "CUMULATIVE",
-}
 DIMENSIONS = 256
 EMBED_BATCH = 32
 JUDGE_BATCH = 20
 CARD_BATCH = 15
 
 
-def relation_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RELATION_TYPES.items()), "name string, kind string")
+def relation_types(spark: SparkSession, kinds: dict[str, str]) -> DataFrame:
+    """(name, kind) of a deployment's relation types: EXCLUSIVE, CUMULATIVE or TEMPORAL."""
+    return spark.createDataFrame(list(kinds.items()), "name string, kind string")
 
 
 def embed_texts(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -93,6 +75,22 @@ def judge(pairs: DataFrame, ask: Callable[[list[tuple[str, str]]], dict[int, boo
     return pairs.select("uuid", "old_fact", "new_fact").mapInPandas(run, "uuid string, contradiction boolean")
 
 
+def judge_entities(pairs: DataFrame, ask: Callable[[list[tuple[str, str]]], list[bool]], batch: int = JUDGE_BATCH) -> DataFrame:
+    """(a, b, merge) of (a, b, name_a, name_b) rows, asked in batches. A batch that fails or doesn't have one answer a pair merges nothing."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for k in range(0, len(frame), batch):
+                part = frame.iloc[k : k + batch]
+                try:
+                    got = list(ask(list(zip(part.name_a, part.name_b, strict=True))))
+                except Exception:
+                    got = []
+                yield pd.DataFrame({"a": part.a, "b": part.b, "merge": [bool(x) for x in got] if len(got) == len(part) else [False] * len(part)})
+
+    return pairs.select("a", "b", "name_a", "name_b").mapInPandas(run, "a string, b string, merge boolean")
+
+
 def mixed_cards(entities: DataFrame, ask: Callable[[list[tuple[str, str]]], dict[int, str]], min_summary: int = 400, cut: int = 900, batch: int = CARD_BATCH) -> DataFrame:
     """(uuid, why) of entities whose summary is about more than one thing, by the judge given."""
 
@@ -120,8 +118,6 @@ def extract(episodes: DataFrame, names: list[str], relations: dict[str, str]) ->
 
 def digest(turn_rows: DataFrame, per_role: int = 3, max_chars: int = 4500, min_chars: int = 800) -> DataFrame:
     """(session, digest): the first turns of each role, cut; sessions below ``min_chars`` have none."""
-    from pyspark.sql import Window
-
     by = Window.partitionBy("session", "role").orderBy("line_no")
     first = turn_rows.withColumn("r", F.row_number().over(by)).where(F.col("r") <= per_role)
     size = turn_rows.groupBy("session").agg(F.sum(F.length("text")).alias("n")).where(F.col("n") >= min_chars)

@@ -49,11 +49,11 @@ def pack(pieces: Column, limit: int, joiner: str = "\n\n") -> Column:
     return F.aggregate(pieces, start, step, lambda a: F.concat(a["out"], F.when(a["cur"] == "", F.array().cast("array<string>")).otherwise(F.array(a["cur"]))))
 
 
-def chunks(text: Column, limit: int = 2500, separator: str = r"\n\s*\n", joiner: str = "\n\n", keep_blank: bool = False) -> Column:
-    """Paragraphs packed into chunks. ``keep_blank``: blank paragraphs take part."""
+def chunks(text: Column, limit: int = 2500, separator: str = r"(?U)\n\s*\n", joiner: str = "\n\n", keep_blank: bool = False) -> Column:
+    """Paragraphs, as they stand, packed into chunks. ``keep_blank``: blank paragraphs take part."""
     paragraphs = F.split(F.coalesce(text, F.lit("")), separator)
     if not keep_blank:
-        paragraphs = F.filter(F.transform(paragraphs, strip), lambda p: p != "")
+        paragraphs = F.filter(paragraphs, lambda p: strip(p) != "")
     return pack(paragraphs, limit, joiner)
 
 
@@ -108,7 +108,7 @@ def body(text: Column) -> Column:
     return F.when(text.rlike(FRONT), F.regexp_extract(text, FRONT, 2)).otherwise(text)
 
 
-#: Statuses of notes and what a header says of them.
+# Statuses of notes (with what a header says of them), and older ones.
 STATUS = {"confirmed": "CONFIRMED (current)", "proposed": "PLAN, not in place", "paused": "ON HOLD", "obsolete": "OUTDATED, no longer valid"}
 LEGACY = ("current", "flipped", "mixed", "closed")
 
@@ -135,9 +135,8 @@ def with_header(header: Column, description: Column, chunk: Column, first: Colum
     return F.concat(lead, chunk)
 
 
-# The phrase that summaries begin with.
-_SUBJECTS = "summary|text|document|passage|content"
-_VERBS = "details|outlines|describes|covers|discusses|summarizes|provides|presents|explains|focuses on|is about|documents|highlights|addresses|concerns"
+# Fixed value: the phrase that summaries begin with.
+TITLE_LEAD = r"^\s*(this|the)\s+(summary|text|document|passage|content)\s+(details|outlines|describes|covers|discusses|summarizes|provides|presents|explains|focuses on|is about|documents|highlights|addresses|concerns)\s+(the\s+)?"
 
 
 def capital(s: Column) -> Column:
@@ -147,7 +146,7 @@ def capital(s: Column) -> Column:
 
 def clean_title(name: Column) -> Column:
     """A community's name without the phrase that summaries begin with; names of only that phrase stay."""
-    cut = strip(F.regexp_replace(F.coalesce(name, F.lit("")), rf"(?i)^\s*(this|the)\s+({_SUBJECTS})\s+({_VERBS})\s+(the\s+)?", ""))
+    cut = strip(F.regexp_replace(F.coalesce(name, F.lit("")), f"(?i){TITLE_LEAD}", ""))
     return F.when(cut != "", capital(cut)).otherwise(F.coalesce(name, F.lit("")))
 
 

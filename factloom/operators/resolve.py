@@ -9,8 +9,6 @@ from ..functions import text as tx
 from ..functions.lineage import cut
 from .patterns import dangling
 
-#: Rounds in which chains of merges are followed; each halves a chain's length.
-CHAIN_ROUNDS = 20
 # Addresses that name the machine itself.
 LOCAL_IPS = ("127.0.0.1", "172.17.0.1", "localhost", "0.0.0.0")
 
@@ -28,13 +26,13 @@ def alias_plan(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     one = entities.select("uuid", "name", "ord", _size().alias("size"), tx.norm(F.col("name")).alias("norm"))
     listed = aliases.select("canon", "labels", F.inline(F.concat(F.array(F.struct(F.col("canon").alias("called"), F.lit(True).alias("is_canon"))), F.transform("aliases", lambda a: F.struct(a.alias("called"), F.lit(False).alias("is_canon"))))))
     listed = listed.withColumn("norm", tx.norm(F.col("called"))).dropDuplicates(["canon", "norm"])
-    met = one.join(F.broadcast(listed), "norm").groupBy("canon", "labels", "uuid", "name", "ord", "size").agg(F.max("is_canon").alias("is_canon"))
-    by = Window.partitionBy("canon")
-    first = Window.partitionBy("canon").orderBy(F.desc("is_canon"), F.desc("size"), "ord")
-    met = met.withColumn("n", F.count("*").over(by)).withColumn("r", F.row_number().over(first))
-    kept = met.where("r = 1").select("canon", F.col("uuid").alias("keep"), F.col("name").alias("keep_name"), F.col("is_canon").alias("keep_is_canon"), "n")
-    dups = met.where("r > 1").select("canon", "labels", F.col("uuid").alias("dup")).join(kept.select("canon", "keep"), "canon").select("canon", "keep", "dup", F.lit(None).cast("string").alias("rename_to"), "labels")
-    named = met.where("r = 1 and name <> canon and (n > 1 or not is_canon)").select("canon", F.col("uuid").alias("keep"), F.lit(None).cast("string").alias("dup"), F.col("canon").alias("rename_to"), "labels")
+    met = cut(one.join(listed, "norm").groupBy("canon", "labels", "uuid", "name", "ord", "size").agg(F.max("is_canon").alias("is_canon")))
+    # the kept one is found by aggregation and joined back, so that a name with many entities is never sorted in one task
+    best = met.groupBy("canon").agg(F.max_by(F.struct("uuid", "name", "is_canon"), F.struct("is_canon", "size", -F.col("ord"))).alias("k"), F.count("*").alias("n"))
+    kept = best.select("canon", F.col("k.uuid").alias("keep"), F.col("k.name").alias("keep_name"), F.col("k.is_canon").alias("keep_is_canon"), "n")
+    met = met.join(kept, "canon")
+    dups = met.where("uuid <> keep").select("canon", "keep", F.col("uuid").alias("dup"), F.lit(None).cast("string").alias("rename_to"), "labels")
+    named = met.where("uuid = keep and name <> canon and (n > 1 or not is_canon)").select("canon", "keep", F.lit(None).cast("string").alias("dup"), F.col("canon").alias("rename_to"), "labels")
     return dups.unionByName(named)
 
 
@@ -44,8 +42,8 @@ def ip_port_plan(entities: DataFrame, local: tuple[str, ...] = LOCAL_IPS, label:
     ported = one.where(F.col("ip").isNotNull() & ~F.col("ip").isin(*local))
     bare = one.where(F.col("ip").isNull()).groupBy("norm").agg(F.min_by("uuid", "ord").alias("base"))
     found = ported.join(bare.withColumnRenamed("norm", "ip"), "ip", "left")
-    first = Window.partitionBy("ip").orderBy("ord")
-    found = found.withColumn("keep", F.coalesce("base", F.first("uuid").over(first)))
+    first = ported.groupBy("ip").agg(F.min_by("uuid", "ord").alias("first"))
+    found = found.join(first, "ip").withColumn("keep", F.coalesce("base", "first"))
     same = F.col("keep") == F.col("uuid")
     return found.select("keep", F.when(~same, F.col("uuid")).alias("dup"), F.when(same, F.col("ip")).alias("rename_to"), F.lit(label).alias("label"))
 
@@ -62,15 +60,23 @@ def same_name_plan(entities: DataFrame, merged: DataFrame | None = None) -> Data
 
 
 def canonical(plan: DataFrame) -> DataFrame:
-    """(dup, keep) with chains followed to their end, so that nothing is moved to an entity that goes itself."""
-    plan = plan.where("dup is not null").groupBy("dup").agg(F.min("keep").alias("keep"))
-    for _ in range(CHAIN_ROUNDS):
-        on = plan.select(F.col("dup").alias("k"), F.col("keep").alias("up"))
+    """(dup, keep) with chains followed to their end, so that nothing is moved to an entity that goes itself.
+
+    Where a plan runs in a circle, the smallest id of the circle is kept. Every round doubles the steps that
+    are behind a row: ``keep`` is what it leads to after them, ``least`` the smallest id on the way.
+    """
+    plan = plan.where("dup is not null and dup <> keep").groupBy("dup").agg(F.min("keep").alias("keep")).withColumn("least", F.col("keep"))
+    steps = 1
+    while True:
+        on = plan.select(F.col("dup").alias("k"), F.col("keep").alias("up"), F.col("least").alias("up_least"))
         step = plan.join(on, plan["keep"] == on["k"], "left")
-        if step.where("up is not null and up <> keep").isEmpty():
-            return plan
-        plan = cut(step.select("dup", F.coalesce("up", "keep").alias("keep")).where("dup <> keep"))
-    raise RuntimeError("the merge plan has a cycle")
+        open_rows = step.where("up is not null").count()
+        if not open_rows:
+            return plan.select("dup", "keep")
+        if steps >= open_rows:  # what is still open has reached its circle, and what it has reached has been all around
+            return step.select("dup", F.coalesce("up_least", "keep").alias("keep")).where("dup <> keep")
+        plan = cut(step.select("dup", F.coalesce("up", "keep").alias("keep"), F.least("least", F.coalesce("up_least", "least")).alias("least")))
+        steps *= 2
 
 
 def repoint(df: DataFrame, mapping: DataFrame, *columns: str) -> DataFrame:
@@ -99,14 +105,17 @@ def merge_entities(entities: DataFrame, mapping: DataFrame, labels: DataFrame |
     are gathered.
     """
     dup = entities.join(mapping, entities["uuid"] == mapping["dup"]).where("coalesce(summary, '') <> ''")
-    order = Window.partitionBy("keep").orderBy("ord", "uuid").rowsBetween(Window.unboundedPreceding, -1)
+    # each takes up four characters at least, so later rows than that are dropped where they are read
+    line = Window.partitionBy("keep").orderBy("ord", "uuid")
+    dup = dup.withColumn("_row", F.row_number().over(line)).where(F.col("_row") <= limit // 4 + 1).drop("_row")
+    order = line.rowsBetween(Window.unboundedPreceding, -1)
     before = dup.withColumn("_before", F.coalesce(F.sum(F.length("summary") + 3).over(order), F.lit(0))).where(F.col("_before") < limit)
     parts = before.groupBy("keep").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "uuid", "summary"))), lambda x: x["summary"]), " | ").alias("_more"))
     kept = entities.join(mapping.select(F.col("dup").alias("uuid")), "uuid", "left_anti").join(parts.withColumnRenamed("keep", "uuid"), "uuid", "left")
     text = F.when(F.col("_more").isNotNull(), F.left(F.concat(F.coalesce("summary", F.lit("")), F.lit(" | "), F.col("_more")), F.lit(limit))).otherwise(F.col("summary"))
     out = kept.withColumn("summary", text).drop("_more")
     if labels is not None:
-        more = labels.select(F.col("keep").alias("uuid"), F.col("labels").alias("_labels"))
+        more = labels.groupBy(F.col("keep").alias("uuid")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("labels")))).alias("_labels"))
         out = out.join(more, "uuid", "left").withColumn("labels", F.array_distinct(F.concat("labels", F.coalesce("_labels", F.array().cast("array<string>"))))).drop("_labels")
     return out.select(*entities.columns)
 
@@ -141,9 +150,30 @@ def split_by_provenance(facts: DataFrame, mentions: DataFrame, episodes: DataFra
     return out.select(*facts.columns), moved.select(*mentions.columns).dropDuplicates(), marked.where("_any and not _all").select(*facts.columns)
 
 
-def new_entity(spark, uuid: str, name: str, labels: list[str], summary: str = "") -> DataFrame:
-    """A row for an entity that a split creates."""
-    return spark.range(1).select(F.lit(uuid).alias("uuid"), F.lit(name).alias("name"), F.array(*[F.lit(x) for x in labels]).alias("labels"), F.lit(summary).alias("summary"))
+def new_entity(spark, name: str, labels: list[str], summary: str = "", group: str = "main", embed=None) -> DataFrame:
+    """A row for an entity that a split creates. Its id is a hash of group and name, so a second run makes the same one; ``embed``: a column function for the name's vector."""
+    one = spark.range(1).select(F.lit(name).alias("name"), F.lit(group).alias("group_id"), F.array(*[F.lit(x) for x in labels]).cast("array<string>").alias("labels"), F.lit(summary).alias("summary"))
+    one = one.select(F.left(F.sha1(F.concat_ws("|", "group_id", tx.norm(F.col("name")))), F.lit(32)).alias("uuid"), "*")
+    return one if embed is None else one.withColumn("name_embedding", embed(F.col("name")))
+
+
+def add_triplet(entities: DataFrame, facts: DataFrame, src: str, name: str, dst: str, fact: str, at: Column, group: str = "main") -> tuple[DataFrame, DataFrame]:
+    """(entities, facts) with a fact between two entities by name; those that aren't there are created, a fact that is there is not repeated."""
+    spark = entities.sparkSession
+    wanted = new_entity(spark, src, ["Entity"], group=group).unionByName(new_entity(spark, dst, ["Entity"], group=group))
+    named = entities.where(F.col("group_id") == group).select(tx.norm(F.col("name")).alias("norm"), F.col("uuid").alias("found"))
+    named = named.where(F.col("norm").isin(*{_norm(src), _norm(dst)})).groupBy("norm").agg(F.min("found").alias("found"))
+    ends = wanted.withColumn("norm", tx.norm(F.col("name"))).join(named, "norm", "left")
+    created = ends.where("found is null").drop("norm", "found").dropDuplicates(["uuid"])
+    ids = ends.select("norm", F.coalesce("found", "uuid").alias("id")).dropDuplicates(["norm"])
+    s, t = (ids.where(F.col("norm") == _norm(x)).select(F.col("id").alias(c)) for x, c in ((src, "src"), (dst, "dst")))
+    row = s.crossJoin(t).withColumns({"name": F.lit(name), "fact": F.lit(fact), "valid_at": at, "created_at": at, "group_id": F.lit(group)})  # one row each
+    row = row.withColumn("uuid", F.left(F.sha1(F.concat_ws("|", "group_id", "src", "name", "dst", "fact")), F.lit(32))).join(facts.select("uuid"), "uuid", "left_anti")
+    return entities.unionByName(created, allowMissingColumns=True), facts.unionByName(row, allowMissingColumns=True)
+
+
+def _norm(name: str) -> str:
+    return " ".join(name.strip().strip(tx.QUOTES).lower().split())
 
 
 def dedupe_candidates(entities: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:

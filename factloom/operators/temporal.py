@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import in_blocks
+
 DAY = 86_400
 EXCLUSIVE, CUMULATIVE, TEMPORAL = "EXCLUSIVE", "CUMULATIVE", "TEMPORAL"
 
@@ -24,20 +26,30 @@ def supersede(facts: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     ``kinds``: (name, kind) of relations; without it all are exclusive. Facts that repeat the value, and
     facts of other kinds, stay open. An earlier close is kept.
     """
+    columns = facts.columns
     if kinds is not None:
-        facts = facts.join(F.broadcast(kinds.select("name", "kind")), "name", "left")
-        exclusive = F.coalesce(F.col("kind") == EXCLUSIVE, F.lit(False))
+        facts = facts.join(kinds.select("name", F.col("kind").alias("_kind")).dropDuplicates(["name"]), "name", "left")
+        exclusive = F.coalesce(F.col("_kind") == EXCLUSIVE, F.lit(False))
     else:
         exclusive = F.lit(True)
-    line = Window.partitionBy("src", "name").orderBy("valid_at", "created_at", "uuid")
-    # the first later fact with another value: the next change of value after this row
-    changed = facts.withColumn("_change", F.when(F.lag("dst").over(line).isNull() | (F.lag("dst").over(line) != F.col("dst")), F.col("valid_at")))
-    following = line.rowsBetween(1, Window.unboundedFollowing)
-    nxt = F.first("_change", ignorenulls=True).over(following)
-    closed = changed.withColumn("_next", F.when(exclusive, nxt))
+    # a subject with most of the facts is dealt out in blocks; what a block needs of the others is a row each
+    rows = in_blocks(facts.withColumn("_exclusive", exclusive), "src", "name", "valid_at", "created_at", "uuid")
+    line = Window.partitionBy("src", "name", "_block").orderBy("valid_at", "created_at", "uuid")
+    edges = rows.groupBy("src", "name", "_block").agg(F.max_by("dst", F.struct("valid_at", "created_at", "uuid")).alias("_last"))
+    over = Window.partitionBy("src", "name").orderBy("_block")
+    same = F.col("src").eqNullSafe(F.col("_s")) & F.col("name").eqNullSafe(F.col("_n")) & (F.col("_block") == F.col("_b"))
+    edges = edges.select(F.col("src").alias("_s"), F.col("name").alias("_n"), F.col("_block").alias("_b"), F.lag("_last").over(over).alias("_before"))
+    rows = rows.join(edges, same, "left").drop("_s", "_n", "_b")
+    previous = F.coalesce(F.lag("dst").over(line), F.col("_before"))
+    changed = rows.withColumn("_previous", previous).withColumn("_change", F.when(F.col("_previous").isNull() | (F.col("_previous") != F.col("dst")), F.col("valid_at")))
+    changed = changed.withColumn("_next", F.first("_change", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)))
+    firsts = changed.groupBy("src", "name", "_block").agg(F.min_by("_change", F.when(F.col("_change").isNotNull(), F.struct("valid_at", "created_at", "uuid"))).alias("_first"))
+    later = firsts.select(F.col("src").alias("_s"), F.col("name").alias("_n"), F.col("_block").alias("_b"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+    joined = changed.join(later, same, "left")
+    closed = joined.withColumn("_next", F.when(F.col("_exclusive"), F.coalesce("_next", "_later")))
     superseded = F.col("_next").isNotNull() & (F.col("invalid_at").isNull() | (F.col("_next") < F.col("invalid_at")))
     out = closed.withColumn("superseded", superseded).withColumn("invalid_at", F.when(superseded, F.col("_next")).otherwise(F.col("invalid_at")))
-    return out.drop("_change", "_next", *(["kind"] if kinds is not None else []))
+    return out.select(*columns, "superseded")
 
 
 def as_of(facts: DataFrame, when: Column) -> DataFrame:
@@ -148,12 +160,13 @@ def alerts(metrics: DataFrame, fast_max: float = 5, generic_max: int = 3) -> Dat
 
 
 def costs(usage: DataFrame, prices: DataFrame, since: Column | None = None) -> DataFrame:
-    """Usage rows with the price of the lower-cased model, else of the model as written, else 0; usd as a decimal."""
+    """Usage rows with the price of the lower-cased model, else of the model as written, else 0; usd as a decimal. A model listed twice has its lowest price."""
     if since is not None:
         usage = usage.where(F.col("ts") >= since)
     p = prices.select("model", F.col("usd_in").cast("decimal(18,6)").alias("usd_in"), F.col("usd_out").cast("decimal(18,6)").alias("usd_out"))
-    low = F.broadcast(p.select(F.col("model").alias("m1"), F.col("usd_in").alias("in1"), F.col("usd_out").alias("out1")))
-    exact = F.broadcast(p.select(F.col("model").alias("m2"), F.col("usd_in").alias("in2"), F.col("usd_out").alias("out2")))
+    p = p.groupBy("model").agg(F.min("usd_in").alias("usd_in"), F.min("usd_out").alias("usd_out"))
+    low = p.select(F.col("model").alias("m1"), F.col("usd_in").alias("in1"), F.col("usd_out").alias("out1"))
+    exact = p.select(F.col("model").alias("m2"), F.col("usd_in").alias("in2"), F.col("usd_out").alias("out2"))
     priced = usage.join(low, F.lower("model") == F.col("m1"), "left").join(exact, F.col("model") == F.col("m2"), "left")
     zero = F.lit(0).cast("decimal(18,6)")
     usd = F.col("in") * F.coalesce("in1", "in2", zero) + F.col("out") * F.coalesce("out1", "out2", zero)
@@ -162,3 +175,22 @@ def costs(usage: DataFrame, prices: DataFrame, since: Column | None = None) -> D
 
 def cost_by(usage_costs: DataFrame, key: str) -> DataFrame:
     return usage_costs.groupBy(key).agg(F.sum("in").alias("tokens_in"), F.sum("out").alias("tokens_out"), F.bround(F.sum("usd"), 3).cast("double").alias("usd"))
+
+
+def run_summary(facts: DataFrame, entities: DataFrame, usage_costs: DataFrame, since: Column, generic: Column, types: int = 8, fast_types: int = 5, top: int = 10) -> DataFrame:
+    """One row with a run's metrics: those of ``run_metrics``, new nodes and generic ones, relation types of new and of fast facts, the most connected nodes, and the cost.
+
+    Lists are bounded reports of ``types``, ``fast_types`` and ``top`` entries. ``entities``: uuid, name, created_at; ``generic``: a condition on them.
+    """
+    from .patterns import hubs, most_common
+
+    listed = lambda df, key, n: df.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(key).alias("k")))), lambda x: F.concat(x["k"], F.lit(":"), (-x["o"]).cast("string"))), ",").alias(n))
+    new = facts.where(F.col("created_at") >= since)
+    fast = facts.where((F.col("expired_at") >= since) & (window_seconds() < DAY))
+    nodes = entities.where(F.col("created_at") >= since).agg(F.count("*").alias("new_nodes"), F.count_if(generic).alias("generic_nodes"))
+    cost = usage_costs.agg(F.bround(F.sum("usd"), 3).cast("double").alias("cost_usd"))
+    degrees = hubs(facts, entities, top).withColumnRenamed("degree", "n")
+    out = run_metrics(facts, since)
+    for one in (nodes, listed(most_common(new, "name", types), "name", "new_fact_types"), listed(most_common(fast, "name", fast_types), "name", "fast_types"), listed(degrees, "uuid", "top_degree"), cost):
+        out = out.crossJoin(one)  # a row each
+    return out

@@ -52,8 +52,8 @@ def bm25_scores(spark, d):
 
 
 def hybrid_rrf(spark, d):
-    """Documents whose ids are also vector ids, by words and by vector."""
-    docs = _docs(spark, d).join(_vectors(spark, d).select("uuid", "embedding"), "uuid")
+    """Documents by words, and by vector those whose ids are also vector ids."""
+    docs = _docs(spark, d).join(_vectors(spark, d).select("uuid", "embedding"), "uuid", "left")
     return s.hybrid(docs, WORDS, _query(spark, d), 10).select("uuid", F.round("score", 9).alias("score"))
 
 
@@ -174,7 +174,7 @@ ORACLES = {
         SELECT uuid, label, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM r WHERE rank <= 3""",
     "bm25_topk": f"WITH {_bm25(WORDS)} SELECT uuid, round(score, 6) AS score FROM bm ORDER BY bm.score DESC, uuid LIMIT 20",
     "bm25_scores": f"WITH {_bm25('gnu apache mit')} SELECT uuid, round(score, 6) AS score FROM bm",
-    "hybrid_rrf": f"""WITH {_bm25(WORDS, '(SELECT * FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings))')}, {_SCORED},
+    "hybrid_rrf": f"""WITH {_bm25(WORDS)}, {_SCORED},
   k AS (SELECT uuid, row_number() OVER (ORDER BY score DESC, uuid) AS r FROM bm ORDER BY r LIMIT 20),
   v AS (SELECT uuid, row_number() OVER (ORDER BY score DESC, uuid) AS r FROM scored WHERE uuid IN (SELECT doc_id FROM documents) ORDER BY r LIMIT 20),
   f AS (SELECT uuid, sum(1.0 / (60 + r)) AS score FROM (SELECT * FROM k UNION ALL SELECT * FROM v) GROUP BY 1)

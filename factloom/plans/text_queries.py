@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import plugins
 from ..functions import redact as r
 from ..functions import text as tx
 from ..sources import feeds
@@ -71,7 +72,7 @@ def session_rollup(spark, d):
 
 
 def _redacted(spark, d):
-    return r.redact_table(table(spark, d, "documents").select("doc_id", "source", "text"), "text", r.chain(exclude=("pem",)))
+    return r.redact_table(table(spark, d, "documents").select("doc_id", "source", "text"), "text", r.chain())
 
 
 def redact_text(spark, d):
@@ -86,8 +87,38 @@ def redact_source_counts(spark, d):
     return r.hit_totals(_redacted(spark, d), "source")
 
 
+def redact_entropy(spark, d):
+    """Texts in which the third layer found something, and what they are then."""
+    out = _redacted(spark, d).select("doc_id", F.coalesce(F.try_element_at("_hits", F.lit(r.ENTROPY)), F.lit(0).cast("long")).alias("hits"), F.md5("text").alias("md5"))
+    return out.where("hits > 0")
+
+
+SECRETS = ("ghp_abcdefghij0123456789", "Qx7Lm2Zp9Rt4Vw8Ks3Nd6Hb1", "vk1.a.ABCDEFGHIJ0123456789abcd", "DB_PASSWORD=hunter22", "known value 17", "-----BEGIN KEY-----\nabc\n-----END KEY-----")
+
+
+def planted_secrets(spark, d):
+    """A secret put at the end of every text: which rule takes it, and whether it is gone."""
+    docs = table(spark, d, "documents").select("doc_id")
+    secret = F.element_at(F.array(*[F.lit(x) for x in SECRETS]), (F.col("doc_id") % len(SECRETS) + 1).cast("int"))
+    rows = docs.withColumn("secret", secret).withColumn("text", F.concat(F.lit("it is "), "secret", F.lit(" and no more")))
+    out = r.redact_table(rows, "text", r.chain(known=["known value 17"]))
+    return out.select("doc_id", "secret", F.array_join(F.map_keys("_hits"), ",").alias("found"), (~F.contains("text", "secret")).alias("gone"))
+
+
+def secret_audit(spark, d):
+    """All text fields of the graph, redacted: hits by kind, field and rule."""
+    fields = {"document.text": (table(spark, d, "documents"), "doc_id", "text"), "page.url": (table(spark, d, "pages"), "page_id", "url"), "part.name": (table(spark, d, "part"), "p_partkey", "p_name")}
+    return r.hit_totals(r.redact_table(r.audit(fields), "text", r.chain()), "kind", "field")
+
+
+def scrubbed_names(spark, d):
+    """Cleaned names written back, with a new embedding only where the name has changed."""
+    part = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.array(F.lit(0.0).cast("float")).alias("e"))
+    return plugins.scrub(part, "name", F.replace("name", F.lit("red"), F.lit("green")), "e").select("p_partkey", "name", F.size("e").alias("size"))
+
+
 def leak_check_zero(spark, d):
-    rules = r.chain(exclude=("pem",))
+    rules = r.chain()
     return _redacted(spark, d).select("doc_id", F.explode(r.leaks(F.col("text"), rules)).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
@@ -139,55 +170,78 @@ def props_from_json(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     norm_names, page_tag_strip, chunk_packing, content_hash_names, turn_chunking, front_header, turn_filter, role_rollup, session_rollup, redact_text, redact_rule_counts, redact_source_counts,
-    leak_check_zero, entropy_tokens, audit_fields_union, generic_names, community_name_clean, json_salvage, iso_times, props_from_json,
+    redact_entropy, planted_secrets, secret_audit, scrubbed_names, leak_check_zero, entropy_tokens, audit_fields_union, generic_names, community_name_clean, json_salvage, iso_times, props_from_json,
 )}
 
 
+def paragraphs_sql(text: str) -> str:
+    return f"list_filter(string_split(coalesce({text}, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13)) <> '')"
+
+
+def packed_sql(ps: str, limit: int, name: str) -> str:
+    """CTEs: the greedy packing of paragraph lists (a table with doc_id, ps) into ``{name}`` (doc_id, i, chunk)."""
+    return f"""{name}_fold AS (
+  SELECT doc_id, ps, 1 AS pos, '' AS cur, CAST([] AS VARCHAR[]) AS out FROM {ps}
+  UNION ALL
+  SELECT doc_id, ps, pos + 1,
+    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {limit} THEN CASE WHEN cur = '' THEN ps[pos] ELSE cur || chr(10) || chr(10) || ps[pos] END
+      ELSE ps[pos][(greatest((length(ps[pos]) - 1) // {limit}, 0)) * {limit} + 1 :] END,
+    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {limit} THEN out
+      ELSE list_concat(CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END,
+        list_transform(range(0, greatest((length(ps[pos]) - 1) // {limit}, 0)), lambda k: ps[pos][k * {limit} + 1 : (k + 1) * {limit}])) END
+  FROM {name}_fold WHERE pos <= len(ps)
+), {name}_done AS (
+  SELECT doc_id, CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END AS out FROM {name}_fold WHERE pos = len(ps) + 1
+), {name} AS (
+  SELECT doc_id, unnest(range(0, len(out))) AS i, unnest(out) AS chunk FROM {name}_done
+)"""
+
+
 def _sql_pattern(p: str) -> str:
     return p.replace("'", "''")
 
 
-def _redact_sql() -> tuple[str, list[tuple[str, str]]]:
-    """The chain of replacements as nested queries: each step has the text so far and the hits of its rule."""
-    rules = r.chain(exclude=("pem",))
-    steps = ["s0 AS (SELECT doc_id, source, text FROM documents)"]
-    for n, rule in enumerate(rules):
+def _entropy_sql(p: str) -> str:
+    """Bits a character of a piece."""
+    share = f"len(list_filter(string_split({p}, ''), lambda x: x = c)) / length({p})"
+    return f"-list_sum(list_transform(list_distinct(string_split({p}, '')), lambda c: {share} * log2({share})))"
+
+
+def redact_sql(source: str, keys: str) -> str:
+    """CTEs: the chain of replacements as nested queries (each step has the text so far and the hits of its rule), and ``redacted``: keys, text, h0, h1 ..."""
+    steps = [f"s0 AS (SELECT {keys}, text FROM {source})"]
+    for n, rule in enumerate(RULES):
         p = _sql_pattern(rule.pattern)
         steps.append(
             f"s{n + 1} AS (SELECT * REPLACE (regexp_replace(text, '{p}', '[REDACTED:{rule.name}]', 'g') AS text), CAST(len(regexp_extract_all(text, '{p}')) AS BIGINT) AS h{n} FROM s{n})"
         )
-    return ",\n".join(steps), [(rule.name, rule.pattern) for rule in rules]
+    c, n = r.TOKEN_CHARACTERS, len(RULES)
+    secret = f"length(p) >= {r.TOKEN_LENGTH} AND regexp_full_match(p, '[{c}]+') AND {_entropy_sql('p')} >= {r.TOKEN_BITS}"
+    steps.append(f"""pieces AS (SELECT *, CASE WHEN regexp_matches(text, '[{c}]{{{r.TOKEN_LENGTH},}}') THEN regexp_extract_all(text, '[{c}]+|[^{c}]+') END AS ps FROM s{n})""")
+    steps.append(f"""redacted AS (SELECT * EXCLUDE (ps) REPLACE (CASE WHEN ps IS NULL THEN text ELSE array_to_string(list_transform(ps, lambda p: CASE WHEN {secret} THEN '[REDACTED:{r.ENTROPY}]' ELSE p END), '') END AS text),
+      CASE WHEN ps IS NULL THEN 0 ELSE len(list_filter(ps, lambda p: {secret})) END AS h{n} FROM pieces)""")
+    return ",\n".join(steps)
 
 
-_STEPS, _NAMED = _redact_sql()
-_LAST = f"s{len(_NAMED)}"
-_HITS = " UNION ALL ".join(f"SELECT source, '{name}' AS rule, h{n} AS h FROM {_LAST}" for n, (name, _) in enumerate(_NAMED))
+def hits_sql(keys: str) -> str:
+    """Hits by keys and rule of ``redacted``."""
+    names = [x.name for x in RULES] + [r.ENTROPY]
+    rows = " UNION ALL ".join(f"SELECT {keys}, '{name}' AS rule, h{n} AS h FROM redacted" for n, name in enumerate(names))
+    return f"SELECT {keys}, rule, CAST(sum(h) AS BIGINT) AS hits FROM ({rows}) GROUP BY ALL HAVING sum(h) > 0"
+
+
+RULES = r.chain()
+_STEPS = redact_sql("documents", "doc_id, source")
 
 ORACLES = {
     "norm_names": "SELECT p_partkey, lower(regexp_replace(p_name || ' ' || p_brand, '\\s+', ' ', 'g')) AS norm FROM part",
     "page_tag_strip": "SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script>.*?</script>', '', 'g'), '(?s)<style>.*?</style>', '', 'g'), '(?s)<nav>.*?</nav>', '', 'g')) AS md5 FROM pages",
-    "chunk_packing": f"""WITH RECURSIVE paragraphs AS (
-  SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS ps FROM documents
-), packing AS (
-  SELECT doc_id, ps, 1 AS pos, '' AS cur, CAST([] AS VARCHAR[]) AS out FROM paragraphs
-  UNION ALL
-  SELECT doc_id, ps, pos + 1,
-    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {LIMIT} THEN CASE WHEN cur = '' THEN ps[pos] ELSE cur || chr(10) || chr(10) || ps[pos] END
-      ELSE ps[pos][(greatest((length(ps[pos]) - 1) // {LIMIT}, 0)) * {LIMIT} + 1 :] END,
-    CASE WHEN length(cur) + length(ps[pos]) + 2 <= {LIMIT} THEN out
-      ELSE list_concat(CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END,
-        list_transform(range(0, greatest((length(ps[pos]) - 1) // {LIMIT}, 0)), lambda k: ps[pos][k * {LIMIT} + 1 : (k + 1) * {LIMIT}])) END
-  FROM packing WHERE pos <= len(ps)
-), finished AS (
-  SELECT doc_id, CASE WHEN cur = '' THEN out ELSE list_append(out, cur) END AS out FROM packing WHERE pos = len(ps) + 1
-), placed AS (
-  SELECT doc_id, unnest(range(0, len(out))) AS i, unnest(out) AS chunk FROM finished
-)
-SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS md5 FROM placed""",
+    "chunk_packing": f"""WITH RECURSIVE paragraphs AS (SELECT doc_id, {paragraphs_sql('text')} AS ps FROM documents), {packed_sql('paragraphs', LIMIT, 'packed')}
+SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS md5 FROM packed""",
     "turn_chunking": f"""WITH RECURSIVE turns AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, CAST(turn AS VARCHAR) AS ts, role, text FROM conversations
 ), paragraphs AS (
-  SELECT conv_id, k, list_filter(list_transform(regexp_split_to_array(text, '\\n\\s*\\n'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '') AS ps
+  SELECT conv_id, k, list_filter(regexp_split_to_array(text, '\\n\\s*\\n'), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') AS ps
   FROM turns WHERE length(role || ': ' || text) > {TURN_LIMIT}
 ), cutting AS (
   SELECT conv_id, k, ps, 1 AS pos, '' AS cur, CAST([] AS VARCHAR[]) AS out FROM paragraphs
@@ -232,12 +286,19 @@ SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '[ARCHIVE, written 2020] ' WHEN s
 WHERE length(t) BETWEEN 1 AND 1000 AND NOT (role = 'assistant' AND length(t) < 100) AND NOT (role = 'user' AND (starts_with(t, 'The ') OR starts_with(t, 'A ')))""",
     "role_rollup": "SELECT role, count(*) AS turns, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY 1",
     "session_rollup": "SELECT conv_id, count(*) AS turns, CAST(sum(length(text)) AS BIGINT) AS chars, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role FROM conversations GROUP BY 1",
-    "redact_text": f"WITH {_STEPS} SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, md5(text) AS md5 FROM {_LAST}",
-    "redact_rule_counts": f"WITH {_STEPS} SELECT rule, CAST(sum(h) AS BIGINT) AS hits FROM ({_HITS}) GROUP BY 1 HAVING sum(h) > 0",
-    "redact_source_counts": f"WITH {_STEPS} SELECT source, rule, CAST(sum(h) AS BIGINT) AS hits FROM ({_HITS}) GROUP BY 1, 2 HAVING sum(h) > 0",
+    "redact_text": f"WITH {_STEPS} SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, md5(text) AS md5 FROM redacted",
+    "redact_rule_counts": f"WITH {_STEPS} SELECT rule, CAST(sum(hits) AS BIGINT) AS hits FROM ({hits_sql('source')}) GROUP BY 1",
+    "redact_source_counts": f"WITH {_STEPS} {hits_sql('source')}",
+    "redact_entropy": f"WITH {_STEPS} SELECT doc_id, CAST(h{len(RULES)} AS BIGINT) AS hits, md5(text) AS md5 FROM redacted WHERE h{len(RULES)} > 0",
     "leak_check_zero": f"WITH {_STEPS} SELECT rule, count(*) AS n FROM ("
-    + " UNION ALL ".join(f"SELECT '{name}' AS rule FROM {_LAST} WHERE regexp_matches(regexp_replace(text, '{r.MARK}', ' ', 'g'), '{_sql_pattern(pattern)}')" for name, pattern in _NAMED)
+    + " UNION ALL ".join(f"SELECT '{x.name}' AS rule FROM redacted WHERE regexp_matches(regexp_replace(text, '{r.MARK}', ' ', 'g'), '{_sql_pattern(x.pattern)}')" for x in RULES)
     + ") GROUP BY 1",
+    "planted_secrets": """SELECT doc_id, (['ghp_abcdefghij0123456789', 'Qx7Lm2Zp9Rt4Vw8Ks3Nd6Hb1', 'vk1.a.ABCDEFGHIJ0123456789abcd', 'DB_PASSWORD=hunter22', 'known value 17', '-----BEGIN KEY-----' || chr(10) || 'abc' || chr(10) || '-----END KEY-----'])[doc_id % 6 + 1] AS secret,
+      (['api_key', 'entropy', 'vk_token', 'env_secret', 'known', 'pem'])[doc_id % 6 + 1] AS found, true AS gone FROM documents""",
+    "secret_audit": f"""WITH fields AS (SELECT 'document' AS kind, 'text' AS field, CAST(doc_id AS VARCHAR) AS uuid, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT 'page', 'url', CAST(page_id AS VARCHAR), url FROM pages WHERE url IS NOT NULL
+      UNION ALL SELECT 'part', 'name', CAST(p_partkey AS VARCHAR), p_name FROM part WHERE p_name IS NOT NULL),
+    {redact_sql('fields', 'kind, field, uuid')} {hits_sql('kind, field')}""",
+    "scrubbed_names": "SELECT p_partkey, replace(p_name, 'red', 'green') AS name, CASE WHEN contains(p_name, 'red') THEN 256 ELSE 1 END AS size FROM part",
     "entropy_tokens": """WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9+/=_-]{24,}')) AS token FROM documents),
 c AS (SELECT doc_id, token, unnest(string_split(token, '')) AS c FROM t), n AS (SELECT doc_id, token, c, count(*) AS k FROM c GROUP BY ALL)
 SELECT doc_id, token FROM n GROUP BY ALL HAVING -sum(k / length(token) * log2(k / length(token))) >= 3.5""",

@@ -83,6 +83,16 @@ def titles(lines: DataFrame) -> DataFrame:
     return v.groupBy("session").agg(F.max_by("title", "line_no").alias("title"))
 
 
+def write_feed(spark: SparkSession, folder: str, files: dict[str, str]) -> None:
+    """Small files with given names and texts, through the folder's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, text in files.items():
+        out = fs.create(path(f"{folder}/{name}"), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+
 def by_prefix(df: DataFrame, prefixes: list[str], key: str = "session") -> DataFrame:
     """Sessions whose id begins with one of the prefixes."""
     listed = F.array(*[F.lit(p) for p in prefixes])

@@ -20,10 +20,34 @@ def append_usage(df: DataFrame, path: str) -> None:
 
 
 def write_notes(df: DataFrame, path: str) -> None:
-    """Clean copies of notes with name and time; stale ones go."""
+    """Clean copies of notes, with name and time as columns; stale ones go."""
     df.select("file", "modified_at", "text").write.mode("overwrite").parquet(path)
 
 
+def write_note_files(df: DataFrame, folder: str) -> int:
+    """Clean copies of notes as files of their names, with their times; stale copies go. The number of files.
+
+    The driver writes them one by one, through the folder's file system, and holds one partition of notes.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    fs.delete(root, True)
+    fs.mkdirs(root)
+    rows = df.select("file", F.unix_timestamp("modified_at").alias("at"), "text")
+    n = 0
+    for r in rows.toLocalIterator():  # a partition at a time: notes are files of a person's making, a few thousand at most
+        path = jvm.org.apache.hadoop.fs.Path(root, r.file)
+        out = fs.create(path, True)
+        out.write(bytearray((r.text or "").encode()))
+        out.close()
+        if r.at is not None:
+            fs.setTimes(path, r.at * 1000, -1)
+        n += 1
+    return n
+
+
 def write_undo(df: DataFrame, path: str, run: str) -> None:
     """Old values of what a run will overwrite, by run."""
     df.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.lineage import in_blocks
+
 
 def new_items(items: DataFrame, *states: DataFrame, key: str = "name", offset: int = 0, limit: int | None = None) -> DataFrame:
     """Items whose name is in none of the states; a slice of them in the order of names on request."""
@@ -19,27 +22,81 @@ def new_items(items: DataFrame, *states: DataFrame, key: str = "name", offset: i
     return items
 
 
-def load_batch(items: DataFrame, load: Callable[[DataFrame], None], state_path: str, key: str = "name") -> int:
-    """Load what is new and commit its names after the load; a failed load commits nothing, so a rerun takes it up again."""
-    spark = items.sparkSession
+def loaded(spark: SparkSession, state_path: str, key: str = "name") -> DataFrame:
+    """Names that the state has; none before the first run."""
     try:
-        done = spark.read.schema(f"{key} string").parquet(state_path)
-    except Exception as e:  # the first run has no state yet
+        return spark.read.schema(f"{key} string").parquet(state_path).distinct()
+    except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        done = spark.createDataFrame([], f"{key} string")
-    new = new_items(items, done.distinct(), key=key).dropDuplicates([key]).persist()
+        return spark.createDataFrame([], f"{key} string")
+
+
+@contextmanager
+def single_writer(spark: SparkSession, state_path: str):
+    """Holds the state for one writer: a file beside it that only one can create. A second one gets an error; a lock that a dead writer left is removed by hand."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(state_path.rstrip("/") + ".lock")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path.getParent())
+    try:
+        fs.create(path, False).close()
+    except Exception as e:
+        raise RuntimeError(f"{state_path} has another writer, or a dead one has left {path}") from e
     try:
-        n = new.count()
-        if n:
-            load(new)
-            new.select(key).write.mode("append").parquet(state_path)
-        return n
+        yield
     finally:
-        new.unpersist()
+        fs.delete(path, False)
+
+
+def load_batch(items: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, key: str = "name") -> int:
+    """Load what is new and commit its names after the load; the number of new items.
+
+    ``load`` gets the rows and the run's id, a digest of their names: writing to a folder of that name, and
+    over what is there, makes the load idempotent. A run that failed between load and commit is done again
+    under the same id, so nothing is loaded twice. One writer at a time.
+    """
+    spark = items.sparkSession
+    with single_writer(spark, state_path):
+        new = new_items(items, loaded(spark, state_path, key), key=key).dropDuplicates([key]).persist()
+        try:
+            run = new.agg(F.count("*").alias("n"), F.hex(F.bit_xor(F.xxhash64(key))).alias("id")).first()
+            if run.n:
+                load(new, f"{run.id}-{run.n}")
+                new.select(F.col(key).cast("string").alias(key)).coalesce(1 + run.n // 1_000_000).write.mode("append").parquet(state_path)
+            return run.n
+        finally:
+            new.unpersist()
+
+
+def compact_state(spark: SparkSession, state_path: str, key: str = "name") -> None:
+    """The state's many small files as few: written beside it, then put in its place."""
+    names = loaded(spark, state_path, key)
+    fresh = state_path.rstrip("/") + ".new"
+    with single_writer(spark, state_path):
+        names.repartition(1 + names.count() // 1_000_000).write.mode("overwrite").parquet(fresh)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(fresh).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path(state_path), True)
+        fs.rename(path(fresh), path(state_path))
+
+
+def load_in_batches(items: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, size: int = 12, key: str = "name") -> list[tuple[int, int, str | None]]:
+    """(batch, items, error) of each batch of about ``size`` new items. A batch that fails is reported and not committed, and the next one is loaded; a rerun takes it up again."""
+    spark = items.sparkSession
+    new = new_items(items, loaded(spark, state_path, key), key=key)
+    batches = -(-new.count() // size)
+    number = F.pmod(F.xxhash64(key), F.lit(max(1, batches)))
+    out = []
+    for b in range(batches):
+        part = new.where(number == b)
+        try:
+            out.append((b, load_batch(part, load, state_path, key), None))
+        except Exception as e:
+            out.append((b, part.count(), f"{type(e).__name__}: {e}".splitlines()[0][:200]))
+    return out
 
 
-def incremental_load(source: DataFrame, load: Callable[[DataFrame], None], state_path: str, checkpoint: str, key: str = "name") -> StreamingQuery:
+def incremental_load(source: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, checkpoint: str, key: str = "name") -> StreamingQuery:
     """The nightly load as a stream: all that has come, once; loads are idempotent by name."""
 
     def batch(df: DataFrame, _: int) -> None:
@@ -75,10 +132,15 @@ def changed_items(items: DataFrame, state: DataFrame, key: str = "sid", digest:
 
 
 def gaps(events: DataFrame, seconds: int = 600, key: str = "user_id", ts: str = "ts", order: str = "event_id") -> DataFrame:
-    """Events that come more than ``seconds`` after the one before, with the gap."""
-    by = Window.partitionBy(key).orderBy(ts, order)
-    before = F.lag(ts).over(by)
-    return events.withColumn("gap", F.timestamp_diff("SECOND", before, F.col(ts))).where(F.col("gap") > seconds)
+    """Events that come more than ``seconds`` after the one before of their key, with the gap. A key with most of the events is dealt out in blocks."""
+    rows = in_blocks(events, key, ts, order)
+    ends = rows.groupBy(key, "_block").agg(F.max(ts).alias("_last"))
+    over = Window.partitionBy(key).orderBy("_block")
+    ends = ends.select(F.col(key).alias("_k"), F.col("_block").alias("_b"), F.lag("_last").over(over).alias("_before"))
+    joined = rows.join(ends, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_block") == F.col("_b")))
+    before = F.coalesce(F.lag(ts).over(Window.partitionBy(key, "_block").orderBy(ts, order)), F.col("_before"))
+    out = joined.withColumn("gap", F.timestamp_diff("SECOND", before, F.col(ts))).where(F.col("gap") > seconds)
+    return out.drop("_k", "_b", "_before", "_block")
 
 
 def moving_average(df: DataFrame, value: str, key: str, order: list[str], n: int = 10) -> DataFrame:
