@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64, prepare, sealed, segment_ids, slices, table, words_of
 
-GRAM_WORDS = 16
+GRAM_WORDS = 8
 RUN_WORDS = 32
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
