@@ -16,8 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 #: Texts are handled in slices of about so many bytes, which bounds a Python worker's memory.
 SLICE_BYTES = 3_000_000
 #: Settings that the queries and the pipeline run under. Batches for Python workers are small, as whole texts are in
-#: them (Spark's default of 10,000 rows takes much memory); the WARC source's filters are pushed down.
-SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.python.filterPushdown.enabled": "true"}
+#: them (Spark's default of 10,000 rows takes much memory); the WARC source's filters are pushed down; a join whose
+#: partitions on one side are all small, as measured when it runs, hashes that side and sorts neither.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.python.filterPushdown.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
