@@ -11,11 +11,11 @@ from factloom.plans import registry
 
 DATA = os.environ.get("FACTLOOM_TESTDATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
 
 @pytest.fixture(scope="module")
 def duck():
+    assert os.path.isdir(DATA), f"no test tables in {DATA}; FACTLOOM_TESTDATA names another folder"
     c = duckdb.connect()
     for t in TABLES:
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
