@@ -47,8 +47,14 @@ MAX_STRETCH = 1.6
 FIELDS = ("t", "label", "base", "n_grams", "t_words", "tpos")
 
 
+#: The letter outside A-Z that ``lower`` makes an ASCII letter of, the one that DuckDB does too, and one that stays what it is.
+KELVIN, DOTTED, APART = "\u212a", "\u0130", "\u0138"
+
+
 def words_expr(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
+    """Words with A-Z lowered (other letters as well, which no template has)."""
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit(KELVIN), F.lit(APART)))
+    return F.array_remove(F.split(low, SEPARATORS), "")
 
 
 def _gram(k: int, words: str = "words", at: str = "pos") -> list[Column]:
@@ -132,7 +138,7 @@ def _values(rows) -> str:
 #: The same in DuckDB SQL, with words in place of hashes.
 ORACLE_SQL = f"""
 WITH tokens AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+  SELECT doc_id, regexp_extract_all(lower(replace(replace(coalesce(text, ''), '{KELVIN}', '{APART}'), '{DOTTED}', '{APART}')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
 ), templates AS (
   SELECT t, string_split(phrase, ' ') AS tw, label, base, CASE WHEN len(string_split(phrase, ' ')) <= {PHRASE_WORDS} THEN {SHORT} ELSE {LONG} END AS k
   FROM (VALUES {_values([(p, x, True) for p, x in BASE] + [(p, x, False) for p, x in OWN])}) AS v(t, phrase, label, base)

@@ -21,7 +21,7 @@ def test_base_against_brute_force_and_sql(spark, documents, make):
         (0, None), (1, ""), (2, "..."), (3, "MIT"), (4, "Released under the MIT License."), (5, "CC-BY cc by CC BY-NC 4.0; Apache\nLicense, apache license"),
         (6, make(80) + " GNU General Public License, " + make(30) + " gnu general public public license"), (7, "über mit license é mit licenses"),
         (8, make(30) + " " + mit.title() + " " + make(30)), (9, " ".join(cut[:9] + ["inserted", "words"] + cut[9:])), (10, " ".join(cut[:6])), (11, make(5000) + " cc by"),
-        (12, "gnu general public license " * 50),
+        (12, "gnu general public license " * 50), (13, "m\u0130t license, this wor\u212a is licensed under the gnu general public license version 3"),
     ]
     got = {r.doc_id: r for r in licenses.scan(documents(rows, extra=True)).collect()}
     assert len(got) == len(rows)

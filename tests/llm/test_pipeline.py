@@ -1,9 +1,15 @@
+import re
 import zlib
 
 import numpy as np
+import test_decontaminate as brute_leaks
+import test_line_dedup as brute_lines
+import test_packing as brute_packing
+import test_quality as brute_quality
+import test_simhash as brute_near
 
 import corpus_pipeline
-from factloom.llm import packing
+from factloom.llm import line_dedup, packing, quality
 
 
 def test_stages_take_effect(spark, tmp_path, make, rng):
@@ -41,3 +47,62 @@ def test_stages_take_effect(spark, tmp_path, make, rng):
         assert [r.start for r in own] == [0, *np.cumsum([r.length for r in own])[:-1].tolist()] and sum(r.length for r in own) == len(tokens)
         assert all(r.ids_crc32 == zlib.crc32(np.array(tokens[r.start : r.start + r.length], "<u4").tobytes()) for r in own)
     assert corpus_pipeline.run(spark, d).count() == len(seen["packing"])
+
+
+def cut_words(text, ranges):
+    """The text without the words in the ranges and the white space after them."""
+    out = []
+    for k, m in enumerate(re.finditer(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", text)):
+        if k == 0:
+            out.append(text[: m.start()])
+        if not any(a <= k < b for a, b in ranges):
+            out.append(m.group())
+    joined = "".join(out)
+    return joined.rstrip(" \t\n\v\f\r") if ranges and ranges[-1][1] == len(brute_lines.words(text)) else joined
+
+
+def brute_pipeline(rows, items):
+    """The rows that the four filtering stages leave, each by its own definition."""
+    kept = []
+    for i, t in rows:
+        m = brute_quality.brute(t, quality.MIN_REPEAT)
+        n = m["n_words"]
+        if n >= 50 and 100 * m["n_repeat_words"] <= 50 * n and m["n_covered"] <= quality.MAX_COVERED * n and m["longest_repeat"] <= quality.MAX_LONGEST:
+            kept.append((i, t))
+    ranges = brute_lines.brute_windows(kept, line_dedup.RUN_WORDS)
+    kept = [(i, cut_words(t, ranges[i]) if ranges[i] else t) for i, t in kept]
+    kept = [(i, t) for i, t in kept if t]
+    roots = brute_near.brute_components([brute_near.brute_fingerprint(t) for _, t in kept])
+    first = {}
+    for (i, _), root in zip(kept, roots, strict=True):
+        first[root] = min(first.get(root, i), i)
+    kept = [(i, t) for (i, t), root in zip(kept, roots, strict=True) if first[root] == i]
+    norm = lambda t: " ".join("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).split()).encode()
+    return [(i, t) for i, t in kept if not any(brute_leaks.distance_within(norm(x), norm(t)) <= int(0.05 * len(norm(x))) for x in items)]
+
+
+def test_whole_result_against_brute_force(spark, tmp_path, make, rng):
+    items = [make(12), make(15)]
+    passage = " ".join(f"p{k}" for k in range(60))
+    base = [make(rng.randint(60, 130)) for _ in range(16)]
+    texts = list(base)
+    texts += [base[2], base[3] + " tail", passage + " " + make(60), make(70) + " " + passage + " " + make(10), make(20), "spam ham " * 60, ""]
+    texts += [make(50) + " " + items[0].upper() + " " + make(20), make(60) + items[1][:-2] + "zz " + make(9), " ".join([make(9)] * 12) + make(60)]
+    rows = list(enumerate(texts))
+    d = tmp_path / "tables"
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows] + [(99, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(d / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
+    want = dict(brute_pipeline(rows, items))
+    assert 0 < len(want) < len(rows) - 5
+    brute_packing.check_rows(corpus_pipeline.run(spark, str(d)).collect(), {i: brute_packing.reference_ids(t) for i, t in want.items()}, packing.CAPACITY)
+
+
+def test_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    docs = spark.createDataFrame([], schema + ", `a.b` string, _runs int")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns[-2:] == ["a.b", "_runs"] and docs.count() == 0
