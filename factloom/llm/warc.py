@@ -229,26 +229,10 @@ def parse_headers(block: bytes) -> dict[str, str]:
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path", "")
-        self.pushdown = str(options.get("pushdown", "false")).lower() == "true"
         self.payload = str(options.get("payload", "true")).lower() != "false"
         self.partition_bytes = int(options.get("partitionbytes", options.get("partitionBytes", PARTITION_BYTES)))
         self.filters: list[tuple[str, str, tuple]] = []
 
-    def pushFilters(self, filters):
-        # Spark keeps what was pushed in the loaded table, where other queries over it would meet it: only on request
-        for f in filters:
-            name = f.attribute[0] if self.pushdown and len(f.attribute) == 1 else None
-            if name in FIELDS and isinstance(f, EqualTo):
-                self.filters.append((name, "in", (f.value,)))
-            elif name in FIELDS and isinstance(f, In):
-                self.filters.append((name, "in", tuple(f.value)))
-            elif name in FIELDS and isinstance(f, StringStartsWith):
-                self.filters.append((name, "starts", (f.value,)))
-            elif name in FIELDS and isinstance(f, IsNotNull):
-                self.filters.append((name, "set", ()))
-            else:
-                yield f
-
     def partitions(self):
         fs, base = file_system(self.path)
         info = fs.get_file_info(base)
@@ -325,6 +309,24 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
+class PushingReader(WarcReader):
+    """Takes filters. Spark keeps what was pushed in the loaded table, where other queries over it would meet it: only on request."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            name = f.attribute[0] if len(f.attribute) == 1 else None
+            if name in FIELDS and isinstance(f, EqualTo):
+                self.filters.append((name, "in", (f.value,)))
+            elif name in FIELDS and isinstance(f, In):
+                self.filters.append((name, "in", tuple(f.value)))
+            elif name in FIELDS and isinstance(f, StringStartsWith):
+                self.filters.append((name, "starts", (f.value,)))
+            elif name in FIELDS and isinstance(f, IsNotNull):
+                self.filters.append((name, "set", ()))
+            else:
+                yield f
+
+
 class WarcDataSource(DataSource):
     """``spark.read.format("warc").load(folder)``; options: payload (true), partitionBytes, pushdown (false).
 
@@ -339,18 +341,20 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return WarcReader(dict(self.options))
+        pushdown = str(self.options.get("pushdown", "false")).lower() == "true"
+        return (PushingReader if pushdown else WarcReader)(dict(self.options))
 
 
 def read_archives(spark: SparkSession, path: str, where: Column | str | None = None, **options) -> DataFrame:
     """Records of the archives below ``path`` that pass ``where``.
 
-    What ``where`` says of record type and headers is pushed down to the reader. Filters that are put on the
+    What ``where`` says of record type and headers is pushed down to the reader, if the session's
+    ``spark.sql.python.filterPushdown.enabled`` is on (see ``prepare``). Filters that are put on the
     result later run in Spark, above the metric ``warc_records``, which must see every row: Spark keeps the
     filters once pushed to a Python source in the loaded table, where other queries over it would meet them.
     """
     spark.dataSource.register(WarcDataSource)
-    reader = spark.read.format("warc").option("pushdown", "true")
+    reader = spark.read.format("warc").option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     for k, v in options.items():
         reader = reader.option(k, v)
     records = reader.load(path)
@@ -366,7 +370,8 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     id and digest; responses are pre-aggregated, and the join's skew is split.
     """
     got = read_archives(spark, path, F.col("record_type").isin("response", "revisit"))
-    got = got.select("record_id", "record_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "read_digest")
+    # the archives are read once; what is kept of a record is a few short columns
+    got = materialize(got.select("record_id", "record_type", "refers_to", "target_uri", "payload_digest", "payload_bytes", "read_digest"), "warc-read")
     responses = got.where("record_type = 'response'")
     named = responses.groupBy(F.col("record_id").alias("r_id"), F.col("read_digest").alias("r_digest")).agg(F.max("payload_bytes").alias("r_bytes"))
     revisits = got.where("record_type = 'revisit'")
@@ -384,6 +389,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(c: str):
         return F.nullif(F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1), F.lit("")).cast("long")
 
-    got = materialize(read_back(spark, path), "warc-read")
+    got = read_back(spark, path)
     drop_path(spark, path)
     return got.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))

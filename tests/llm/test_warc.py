@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.llm import warc
+from factloom.llm._shared import prepare
 
 
 def pages(spark, rows):
@@ -43,6 +44,9 @@ def test_round_trip(spark, tmp_path, make, least):
 def test_filters_and_options(spark, tmp_path, make):
     path = str(tmp_path / "w")
     warc.write_archives(pages(spark, rows_for(make)), path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    assert warc.read_archives(spark, path, "record_type = 'revisit'").count() == 4
+    prepare(spark)
     some = warc.read_archives(spark, path, (F.col("record_type") == "revisit") & F.col("target_uri").startswith("http://a"))
     assert [r.record_id for r in some.collect()] == [warc.urn(10)]
     plan = some._jdf.queryExecution().executedPlan().toString()
