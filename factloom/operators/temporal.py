@@ -20,11 +20,40 @@ def window_seconds(start: str = "valid_at", end: str = "invalid_at") -> Column:
     return F.timestamp_diff("SECOND", F.col(start), F.col(end))
 
 
-def supersede(facts: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
+def _next_change(rows: DataFrame, line, before=None) -> DataFrame:
+    """``rows`` with _change, the time at which a row's value begins (null for a repeated one), and _next, the first such time of a later row."""
+    previous = F.lag("dst").over(line) if before is None else F.coalesce(F.lag("dst").over(line), before)
+    changed = rows.withColumn("_previous", previous).withColumn("_change", F.when(F.col("_previous").isNull() | (F.col("_previous") != F.col("dst")), F.col("valid_at")))
+    return changed.withColumn("_next", F.first("_change", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)))
+
+
+def _next_change_in_blocks(facts: DataFrame) -> DataFrame:
+    """The same where a subject's rows are in blocks: the last value of the block before, and the first change in a later block, are carried over."""
+    rows = in_blocks(facts, "src", "name", "valid_at", "created_at", "uuid")
+    place = F.struct("valid_at", "created_at", "uuid")
+    over = Window.partitionBy("src", "name").orderBy("_block")
+    same = F.col("src").eqNullSafe(F.col("_s")) & F.col("name").eqNullSafe(F.col("_n")) & (F.col("_block") == F.col("_b"))
+    keys = [F.col("src").alias("_s"), F.col("name").alias("_n"), F.col("_block").alias("_b")]
+    ends = rows.groupBy("src", "name", "_block").agg(F.max_by("dst", place).alias("_last"))
+    rows = rows.join(ends.select(*keys, F.lag("_last").over(over).alias("_before")), same, "left").drop("_s", "_n", "_b")
+    line = Window.partitionBy("src", "name", "_block").orderBy("valid_at", "created_at", "uuid")
+    changed = _next_change(rows, line, F.col("_before"))
+    firsts = changed.groupBy("src", "name", "_block").agg(F.min_by("_change", F.when(F.col("_change").isNotNull(), place)).alias("_first"))
+    later = firsts.select(*keys, F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+    return changed.join(later, same, "left").withColumn("_next", F.coalesce("_next", "_later"))
+
+
+#: A subject's facts of one relation that one task may hold; beyond that they are dealt out in blocks.
+HOT_ROWS = 1_000_000
+
+
+def supersede(facts: DataFrame, kinds: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Close an exclusive fact when its subject gets another value of the same relation.
 
     ``kinds``: (name, kind) of relations; without it all are exclusive. Facts that repeat the value, and
-    facts of other kinds, stay open. An earlier close is kept.
+    facts of other kinds, stay open. An earlier close is kept. Where a subject has more than ``hot_rows``
+    facts of a relation, facts are dealt out in blocks, and what a block needs of the others is a row each;
+    the result is the same.
     """
     columns = facts.columns
     if kinds is not None:
@@ -32,21 +61,11 @@ def supersede(facts: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
         exclusive = F.coalesce(F.col("_kind") == EXCLUSIVE, F.lit(False))
     else:
         exclusive = F.lit(True)
-    # a subject with most of the facts is dealt out in blocks; what a block needs of the others is a row each
-    rows = in_blocks(facts.withColumn("_exclusive", exclusive), "src", "name", "valid_at", "created_at", "uuid")
-    line = Window.partitionBy("src", "name", "_block").orderBy("valid_at", "created_at", "uuid")
-    edges = rows.groupBy("src", "name", "_block").agg(F.max_by("dst", F.struct("valid_at", "created_at", "uuid")).alias("_last"))
-    over = Window.partitionBy("src", "name").orderBy("_block")
-    same = F.col("src").eqNullSafe(F.col("_s")) & F.col("name").eqNullSafe(F.col("_n")) & (F.col("_block") == F.col("_b"))
-    edges = edges.select(F.col("src").alias("_s"), F.col("name").alias("_n"), F.col("_block").alias("_b"), F.lag("_last").over(over).alias("_before"))
-    rows = rows.join(edges, same, "left").drop("_s", "_n", "_b")
-    previous = F.coalesce(F.lag("dst").over(line), F.col("_before"))
-    changed = rows.withColumn("_previous", previous).withColumn("_change", F.when(F.col("_previous").isNull() | (F.col("_previous") != F.col("dst")), F.col("valid_at")))
-    changed = changed.withColumn("_next", F.first("_change", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)))
-    firsts = changed.groupBy("src", "name", "_block").agg(F.min_by("_change", F.when(F.col("_change").isNotNull(), F.struct("valid_at", "created_at", "uuid"))).alias("_first"))
-    later = firsts.select(F.col("src").alias("_s"), F.col("name").alias("_n"), F.col("_block").alias("_b"), F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
-    joined = changed.join(later, same, "left")
-    closed = joined.withColumn("_next", F.when(F.col("_exclusive"), F.coalesce("_next", "_later")))
+    marked = facts.withColumn("_exclusive", exclusive)
+    most = facts.groupBy("src", "name").count().agg(F.max("count")).first()[0]
+    line = Window.partitionBy("src", "name").orderBy("valid_at", "created_at", "uuid")
+    closed = _next_change_in_blocks(marked) if most and most > hot_rows else _next_change(marked, line)
+    closed = closed.withColumn("_next", F.when(F.col("_exclusive"), F.col("_next")))
     superseded = F.col("_next").isNotNull() & (F.col("invalid_at").isNull() | (F.col("_next") < F.col("invalid_at")))
     out = closed.withColumn("superseded", superseded).withColumn("invalid_at", F.when(superseded, F.col("_next")).otherwise(F.col("invalid_at")))
     return out.select(*columns, "superseded")

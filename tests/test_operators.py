@@ -302,8 +302,9 @@ def test_supersede_of_a_hot_subject_in_blocks(spark):
     rng = random.Random(8)
     rows = [(f"u{i}", "hot" if i % 2 else f"s{rng.randrange(40)}", "R", f"v{rng.randrange(3)}", rng.randrange(500), i) for i in range(4000)]
     facts = spark.createDataFrame(rows, "uuid string, src string, name string, dst string, valid_at long, created_at long").withColumn("invalid_at", F.lit(None).cast("long"))
-    out = temporal.supersede(facts.repartition(8))
+    out = temporal.supersede(facts.repartition(8), hot_rows=500)
     assert {r.uuid: r.invalid_at for r in out.collect()} == brute_supersede(rows)
+    assert {r.uuid: r.invalid_at for r in temporal.supersede(facts).collect()} == brute_supersede(rows)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     windows = [x for x in plan.splitlines() if "Window [" in x]
     rows_wide = [x for x in windows if "_block" not in x.split("],")[1]]
