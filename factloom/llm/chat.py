@@ -69,8 +69,8 @@ def parse(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     return src.withColumn("lines", following).drop("text").withColumn("order", F.coalesce(F.col("turn").cast("long"), F.lit(LAST)))
 
 
-def link(messages: DataFrame) -> DataFrame:
-    """(conv_id, order, quoted): the turn that each quoting message replies to."""
+def link(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, order, quoted): the turn that each quoting message replies to; and the scratch table that this reads."""
     rows = messages.select("conv_id", "order", F.explode("lines").alias("l")).where((F.length(F.trim(normal(F.col("l.line")))) > 0) & ~F.col("l.intro"))
     rows = rows.select("conv_id", "order", F.col("l.hash").alias("hash"), F.col("l.level").alias("level"))
     quotes = rows.where("level > 0").groupBy("conv_id", "order", "hash", "level").agg(F.count("*").alias("votes"))
@@ -78,7 +78,8 @@ def link(messages: DataFrame) -> DataFrame:
     own = rows.where("level = 0").join(wanted, rows["conv_id"].eqNullSafe(F.col("q_conv")) & (F.col("hash") == F.col("q_hash")), "left_semi").select("conv_id", "order", "hash").distinct()
     # quoted and own lines of a hash: the last own line before each quoted one, within blocks and then across them
     both = quotes.unionByName(own.withColumn("level", F.lit(0)).withColumn("votes", F.lit(0).cast("long")))
-    both = in_blocks(both, "conv_id", "hash", "order").withColumn("own", F.when(F.col("votes") == 0, F.col("order")))
+    placed = in_blocks(both, "conv_id", "hash", "order")
+    both = placed.withColumn("own", F.when(F.col("votes") == 0, F.col("order")))
     inside = Window.partitionBy("conv_id", "hash", "block").orderBy("order").rangeBetween(Window.unboundedPreceding, -1)
     near = both.withColumn("near", F.max("own").over(inside)).where("votes > 0").drop("own")
     earlier = Window.partitionBy("conv_id", "hash").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,16 +88,18 @@ def link(messages: DataFrame) -> DataFrame:
     same = near["conv_id"].eqNullSafe(ends["e_conv"]) & (F.col("hash") == F.col("e_hash")) & (F.col("block") == F.col("e_block"))
     found = near.join(ends, same, "left").withColumn("source", F.coalesce("near", "far")).where("source is not null")
     votes = found.groupBy("conv_id", "order", "level", "source").agg(F.sum("votes").alias("votes"))
-    return votes.groupBy("conv_id", "order").agg(F.max_by("source", F.struct(-F.col("level"), "votes", "source")).alias("quoted"))
+    return votes.groupBy("conv_id", "order").agg(F.max_by("source", F.struct(-F.col("level"), "votes", "source")).alias("quoted")), placed
 
 
 def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per message, laid out by replies; sort by conv_id and place to read conversations."""
     parsed = materialize(parse(messages, conv, turn, role, text), "chat")
-    found = link(parsed).select(F.col("conv_id").alias("l_conv"), F.col("order").alias("l_order"), "quoted")
+    links, lines = link(parsed)
+    found = links.select(F.col("conv_id").alias("l_conv"), F.col("order").alias("l_order"), "quoted")
     turns = parsed.select("conv_id", "order").distinct()
     linked = turns.join(found, turns["conv_id"].eqNullSafe(F.col("l_conv")) & (F.col("order") == F.col("l_order")), "left").select("conv_id", "order", "quoted")
     linked = in_blocks(linked, "conv_id", "order")
+    forget(lines)
     inside = Window.partitionBy("conv_id", "block").orderBy("order")
     # the message before, within the block and then across blocks
     step = linked.withColumn("previous", F.lag("order").over(inside))

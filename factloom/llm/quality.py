@@ -33,7 +33,7 @@ SYMBOLS = b"#*$%&|<>"
 #: A repeated string counts from this many words on.
 MIN_REPEAT = 6
 #: Largest share of a document's words inside repeated strings.
-MAX_COVERED = 0.25
+MAX_COVERED = 0.3
 #: Most words of the longest repeated string.
 MAX_LONGEST = 40
 

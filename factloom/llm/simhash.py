@@ -226,8 +226,8 @@ def _keys(fp: str, level: int, max_bits: int) -> list:
     return extend("", 0, list(range(64)), level)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(a, b): links that connect, group by group, all distinct fingerprints ``fp`` within ``max_bits`` bits."""
+def links(fps: DataFrame, max_bits: int = MAX_BITS, group_limit: int = GROUP_LIMIT, used: list[DataFrame] | None = None) -> DataFrame:
+    """(a, b): links that connect, group by group, all distinct fingerprints ``fp`` within ``max_bits`` bits. ``used`` gets the scratch tables that this reads."""
     pivots = _pivots()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group_limit: int = GROUP_LIM
             sizes = keyed.groupBy("path", "value").count().where(F.col("count") > group_limit)
             hot = materialize(sizes.select("path", "value"), "simhash-hot")
             if hot.isEmpty():
+                forget(hot)
                 hot = None
+            elif used is not None:
+                used.append(hot)
         if hot is not None:
             small = F.broadcast(hot) if hot.count() <= 10_000 else hot
             rest = keyed.join(small, ["path", "value"], "left_semi").select("fp").distinct()
@@ -309,12 +312,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, fp and component_id (smallest doc_id reachable, itself included)."""
     fps = materialize(fingerprints(docs, id_col, text_col), "simhash")
     groups = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-groups")
-    roots = components(links(groups, max_bits, group_limit))
+    used: list[DataFrame] = []
+    roots = components(links(groups, max_bits, group_limit, used))
     joined = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = joined.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
     found = materialize(fps.join(named, "fp", "left").select("doc_id", "fp", "component_id", "root", "text_hash"), "simhash-found")
-    forget(fps, groups, roots)
+    forget(fps, groups, roots, *used)
     return found
 
 
