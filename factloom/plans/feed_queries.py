@@ -316,6 +316,27 @@ def grown_notes(spark, d):
     return inc.new_items(names(grown), names(docs)).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
+def blank_chunks(spark, d):
+    """Texts cut at literal blank lines, where blank paragraphs take part."""
+    docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n\n \n\n")).alias("text"))
+    rows = docs.select("doc_id", F.posexplode(tx.chunks(F.col("text"), 300, "\n\n", keep_blank=True)).alias("i", "chunk"))
+    return rows.select("doc_id", "i", F.length("chunk").alias("chars"), F.md5("chunk").alias("md5"))
+
+
+def model_calls(spark, d):
+    """The log of model calls, with failed ones and a broken line: calls, failures and seconds by model."""
+    path = scratch_path(spark, "calls")
+    e = table(spark, d, "events")
+    status = F.when(F.col("event_id") % 10 == 0, 500).otherwise(200)
+    e.select(
+        F.col("event_id").cast("double").alias("ts"), F.lit("t").alias("tag"), F.lit("/v1").alias("path"), status.alias("status"), F.col("event_type").alias("model"), F.col("user_id").alias("pt"), F.lit(1).cast("long").alias("ct"),
+        F.lit(0).cast("long").alias("rt"), F.lit(0.5).alias("cost"), (F.col("event_id") % 1000).alias("ms"), F.when(F.col("event_id") % 10 == 0, F.lit("timeout")).alias("err"),
+    ).write.json(path)
+    feeds.write_feed(spark, path, {"bad.json": "{\"ts\": 1, \"status\": oops\n"})
+    calls = feeds.model_calls(spark, path, 100.0)
+    return calls.groupBy("model").agg(F.count("*").alias("calls"), F.count("err").alias("failed"), F.sum("ms").alias("ms"), F.sum("cost").alias("cost"))
+
+
 def retried(spark, d):
     """A load that fails twice and is done in a smaller batch at last."""
     asked = []
@@ -340,7 +361,7 @@ def build_steps(spark, d):
 QUERIES = {f.__name__: f for f in (
     note_scan, note_episode_records, note_copies, transcript_turns, transcript_titles, transcript_episodes, inbox_records, episode_records, usage_records, prefix_pick, idle_sessions, state_slice, state_commit,
     log_progress, log_visible, run_error_count, rebuilt_digests, replaced_groups, clean_note_rows, undo_by_run, snapshot_retention, regrouped, run_attention, cluster_dump, nightly_runs, load_redone, load_batches,
-    second_writer, grown_notes, retried, build_steps,
+    second_writer, grown_notes, blank_chunks, model_calls, retried, build_steps,
 )}
 
 
@@ -409,6 +430,10 @@ ORACLES = {
     "grown_notes": f"""WITH RECURSIVE before AS (SELECT doc_id, {paragraphs_sql('text')} AS ps FROM documents), after AS (SELECT doc_id, {paragraphs_sql("text || chr(10) || 'one more paragraph'")} AS ps FROM documents),
 {packed_sql('before', 500, 'old')}, {packed_sql('after', 500, 'fresh')}
 SELECT doc_id, count(*) AS n FROM ({_FULL_NAMES('fresh')}) WHERE name NOT IN (SELECT name FROM ({_FULL_NAMES('old')})) GROUP BY 1""",
+    "blank_chunks": f"""WITH RECURSIVE paragraphs AS (SELECT doc_id, string_split(replace(text, '. ', '.' || chr(10) || chr(10) || ' ' || chr(10) || chr(10)), chr(10) || chr(10)) AS ps FROM documents),
+{packed_sql('paragraphs', 300, 'packed')} SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(length(chunk) AS INTEGER) AS chars, md5(chunk) AS md5 FROM packed""",
+    "model_calls": """SELECT event_type AS model, count(*) AS calls, count(*) FILTER (WHERE event_id % 10 = 0) AS failed, CAST(sum(event_id % 1000) AS BIGINT) AS ms, CAST(count(*) * 0.5 AS DOUBLE) AS cost
+        FROM events WHERE event_id >= 100 GROUP BY 1""",
     "retried": "SELECT 3 AS attempt, '12,12,6' AS sizes",
     "build_steps": _listed([("step", "notes", "n", "own"), ("step", "notes", "old", "archived"), ("step", "chat", "", "by kind"), ("step", "chat", "n", "step"), ("value", "graph.name", "main", ""), ("default", "graph.port", "6379", ""), ("problem", "missing: graph", "", "")], "what", "kind", "key", "instruction"),
 }

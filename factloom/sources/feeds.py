@@ -154,6 +154,13 @@ def usage(spark: SparkSession, path: str, since: float | None = None) -> DataFra
     return rows if since is None else rows.where(F.col("ts") >= since)
 
 
+def model_calls(spark: SparkSession, path: str, since: float | None = None) -> DataFrame:
+    """The log of model calls: tokens in, out and for reasoning, cost, milliseconds, and an error if one failed; bad lines are skipped."""
+    schema = "ts double, tag string, path string, status int, model string, pt long, ct long, rt long, cost double, ms long, err string"
+    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return rows if since is None else rows.where(F.col("ts") >= since)
+
+
 def progress(log: DataFrame, line: str = "value") -> DataFrame:
     """(done, total, seconds) of progress lines such as ``batch 3/12 ... 81 s``."""
     pattern = r"batch (\d+)/(\d+).*?([\d.]+) ?s\b"
