@@ -71,3 +71,9 @@ def test_rules_and_filter(spark, documents, rng, make):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["0", "6", "6", "None"]
     assert quality.rules(documents([])).count() == 0
+
+
+def test_long_repetitive_text(spark, documents, make):
+    got = {r.doc_id: r for r in quality.rules(documents([(1, "a " * 100_000), (2, "b c d " * 30_000), (3, make(30_000))])).collect()}
+    assert (got[1].n_words, got[1].n_covered, got[1].longest_repeat) == (100_000, 100_000, 99_999)
+    assert (got[2].longest_repeat, got[2].kept) == (89_997, False) and got[3].kept and not got[3].longest_failed
