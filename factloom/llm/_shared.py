@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -32,8 +33,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    return df.mapInArrow(run, schema)
+#: What a worker keeps between tasks, by the operator that it serves; another operator's task clears it.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def give_back() -> None:
+    """Hand memory that is free back to the system: a worker lives on, and its neighbours need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def map_arrow(df: DataFrame, run, schema, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` whose tasks leave no memory behind but the cache that they name."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, clear in CACHES.items():
+            if name != keeps:
+                clear()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import column, map_arrow, prepare, slices, table, words_of
+from ._shared import CACHES, column, map_arrow, prepare, slices, table, words_of
 
 CAPACITY = 4096
 END_ID = 2
@@ -127,6 +127,9 @@ def coder(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+CACHES["packing"] = coder.cache_clear
+
+
 def fill_window(counts: dict[int, int], capacity: int) -> tuple[dict[int, int], int]:
     """The multiset of lengths (with counts) closest to capacity that holds the largest length, and its slack."""
     seed = max(counts)
@@ -260,7 +263,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return map_arrow(src, run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return map_arrow(src, run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long", keeps="packing")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
