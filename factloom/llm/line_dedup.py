@@ -24,7 +24,6 @@ Rows are told apart by doc_id and a 64-bit hash of the text; those without a doc
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,7 +36,6 @@ from ._shared import column, forget, hash_strings, map_arrow, materialize, mix64
 
 GRAM_WORDS = 8
 RUN_WORDS = 32
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,28 +78,53 @@ def segments_of(text: pa.Array, gram_words: int, run_words: int) -> dict[str, np
     return {"doc": doc[begin], "print": value[first].view(np.int64), "segment": span(begin, windows + run_words - 1).view(np.int64), "from": begin - offsets[doc[begin]], "windows": windows}
 
 
-def merge_ranges(ranges: list[tuple[int, int]], run_words: int) -> list[tuple[int, int]]:
-    """Unions of overlapping or adjoining ranges that have at least ``run_words`` words."""
-    out: list[list[int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out if b - a >= run_words]
-
-
-def without(text: str, ranges: list[tuple[int, int]]) -> str:
-    """The text without the words in the ranges and the white space after them."""
-    starts = [m.start() for m in _WORD.finditer(text)]
-    starts.append(len(text))
-    out, at = [], 0
-    for a, b in ranges:
-        out.append(text[at : starts[a]])
-        at = starts[b]
-    out.append(text[at:])
-    joined = "".join(out)
-    return joined.rstrip(" \t\n\v\f\r") if at == len(text) else joined
+def merge_ranges(doc: np.ndarray, low: np.ndarray, high: np.ndarray, run_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unions of overlapping or adjoining ranges [low, high) of each document that have at least ``run_words`` words."""
+    if not len(doc):
+        return doc, low, high
+    order = np.lexsort((low, doc))
+    doc, low, high = doc[order], low[order], high[order]
+    wide = int(high.max()) + 1  # places of one document lie within its stretch
+    reach = np.maximum.accumulate(doc * wide + high)
+    first = np.flatnonzero(np.append(True, doc[1:] * wide + low[1:] > reach[:-1]))
+    last = np.append(first[1:], len(doc)) - 1
+    doc, low, high = doc[first], low[first], reach[last] - doc[first] * wide
+    long = high - low >= run_words
+    return doc[long], low[long], high[long]
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def without(text: pa.Array, doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """Texts (none null) without the words in the ranges and the white space after them; at a text's end, also before them."""
+    data = text.cast(pa.large_binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    if not len(doc):
+        return text
+    raw, offsets = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+    space = _SPACE[raw]
+    edge = np.ones(len(raw) + 1, bool)  # whether a word may begin here: after white space, or where a text does
+    edge[1:] = space
+    edge[offsets] = True
+    word = np.flatnonzero(~space & edge[:-1])
+    zero = np.searchsorted(word, offsets[:-1])  # the first word of each text
+    count = np.append(zero[1:], len(word)) - zero
+    starts = np.append(word, len(raw))
+    begin = starts[zero[doc] + low]
+    to_end = high >= count[doc]
+    end = np.where(to_end, offsets[doc + 1], starts[np.minimum(zero[doc] + high, len(word))])
+    # at the end of a text the white space before the first word that goes, goes too
+    solid = np.maximum.accumulate(np.where(space, -1, np.arange(len(raw))))
+    before = np.append(-1, solid)[begin] + 1
+    begin = np.where(to_end, np.maximum(before, offsets[doc]), begin)
+    change = np.zeros(len(raw) + 1, np.int32)
+    np.add.at(change, begin, 1)
+    np.add.at(change, end, -1)
+    kept = np.cumsum(change[:-1]) == 0
+    sums = np.append(0, np.cumsum(kept))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer(sums[offsets].astype(np.int64)), pa.py_buffer(raw[kept])]).cast(pa.string())
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
@@ -130,7 +153,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             start = np.repeat(one.field("from").to_numpy(zero_copy_only=False).astype(np.int64), count) + inner
             row = np.repeat(row, count)
             value = _rolling(flat)(offsets[row] + start, run_words)
-            yield pa.RecordBatch.from_arrays([*of(b, row), pa.array(value.view(np.int64)), pa.array(start, pa.int32())], [*own, "window", "from"])
+            marks = one.field("print").take(pa.array(np.repeat(np.arange(len(count)), count)))
+            yield pa.RecordBatch.from_arrays([*of(b, row), marks, pa.array(value.view(np.int64)), pa.array(start, pa.int32())], [*own, "print", "window", "from"])
 
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), *own, F.col("from"))
     every = materialize(map_arrow(src, segments, f"{schema}, print long, segment long, `from` int, windows int"), "winnow")
@@ -141,14 +165,15 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = materialize(hits.groupBy("print", "segment", "windows").agg(F.min(place).alias("first")), "winnow-first")
     whole = hits.join(first.select("print", "segment", "first"), ["print", "segment"]).where(place != F.col("first"))
     several = materialize(first.groupBy("print").count().where("count > 1").select("print"), "winnow-several")
-    unlike = first.join(several, "print", "left_semi").select("first.*", "windows").groupBy(*own).agg(F.collect_list(F.struct("from", "windows")).alias("open"))
+    unlike = first.join(several, "print", "left_semi").select("first.*", "print", "windows").groupBy(*own).agg(F.collect_list(F.struct("from", "windows", "print")).alias("open"))
     unlike = materialize(unlike.select(*[F.col(c).alias(f"o_{c}") for c in own], "open"), "winnow-open")
     read = src.join(unlike, _same("o_"), "inner").select(*own, "text", "open")
-    rows = materialize(map_arrow(read, windows, f"{schema}, window long, `from` int"), "winnow-windows")
+    rows = materialize(map_arrow(read, windows, f"{schema}, print long, window long, `from` int"), "winnow-windows")
     forget(several, unlike)
-    earliest = rows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("window", "first")
+    # the fingerprint is part of the key: windows must agree in two hashes of 64 bits
+    earliest = rows.groupBy("print", "window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("print", "window", "first")
     earliest = materialize(earliest, "winnow-earliest")
-    part = rows.join(earliest, "window").where(place != F.col("first"))
+    part = rows.join(earliest, ["print", "window"]).where(place != F.col("first"))
     span = lambda n: F.struct(F.col("from"), (F.col("from") + n + F.lit(run_words - 1)).alias("to"))
     ranges = whole.select(*own, span(F.col("windows")).alias("range")).unionByName(part.select(*own, span(F.lit(1)).alias("range")))
     found = materialize(ranges.groupBy(*own).agg(F.collect_set("range").alias("ranges")), "winnow-ranges")
@@ -173,15 +198,20 @@ def _deduped(docs: DataFrame, id_col: str, text_col: str, gram_words: int, run_w
 
     @F.arrow_udf("struct<text: string, runs: array<struct<`from`: int, `to`: int>>>")
     def delete(text: pa.Array, ranges: pa.Array) -> pa.Array:
-        kind = pa.struct([("text", pa.string()), ("runs", pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))])
-        out = []
-        for x, r in zip(text, ranges, strict=True):
-            if not x.is_valid or not r.is_valid:
-                out.append({"text": None, "runs": None})
-                continue
-            runs = merge_ranges([(y["from"], y["to"]) for y in r.as_py()], run_words)
-            out.append({"text": without(x.as_py(), runs) if runs else None, "runs": [{"from": a, "to": b} for a, b in runs]})
-        return pa.array(out, kind)
+        rows = np.flatnonzero(pc.and_(pc.is_valid(text), pc.is_valid(ranges)).to_numpy(zero_copy_only=False))
+        own, listed = text.take(pa.array(rows)), ranges.take(pa.array(rows))
+        one = listed.flatten()
+        row = np.repeat(np.arange(len(rows)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+        low, high = (one.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("from", "to"))
+        doc, low, high = merge_ranges(row, low, high, run_words)
+        cut = without(own, doc, low, high)
+        sizes = np.append(0, np.cumsum(np.bincount(doc, minlength=len(rows)))).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["from", "to"])
+        runs = pa.ListArray.from_arrays(pa.array(sizes), pairs)
+        at = np.full(len(text), -1)
+        at[rows] = np.arange(len(rows))
+        back = pa.array(at, mask=at < 0)
+        return pa.StructArray.from_arrays([cut.take(back), runs.take(back)], ["text", "runs"])
 
     delete = delete.asNondeterministic()  # or Spark may evaluate it once for each use of its result
     joined = inner.select("*", *_keys(i, t)).join(found, _same("f_", i), "left")

@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from factloom.llm import line_dedup as ld
@@ -42,6 +44,45 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+def merged(ranges, least):
+    """Unions of overlapping or adjoining ranges that have enough words."""
+    out = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return [(a, b) for a, b in out if b - a >= least]
+
+
+def cut_words(text, ranges):
+    """The text without the words in the ranges and the white space after them."""
+    out = []
+    for k, m in enumerate(re.finditer(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", text)):
+        if k == 0:
+            out.append(text[: m.start()])
+        if not any(a <= k < b for a, b in ranges):
+            out.append(m.group())
+    joined = "".join(out) if words(text) else text
+    return joined.rstrip(" \t\n\v\f\r") if ranges and ranges[-1][1] == len(words(text)) else joined
+
+
+def test_words_are_cut_as_by_a_plain_reading(rng):
+    texts, ranges = [], []
+    for _ in range(300):
+        n = rng.randint(0, 12)
+        t = rng.choice(("", " ", "\n\t")) + "".join(rng.choice(("a", "bé", "漢字", "x.")) + rng.choice((" ", "  ", "\n", "\x0b ")) for _ in range(n))
+        texts.append(t.rstrip(" ") if rng.random() < 0.5 else t)
+        ranges.append([tuple(sorted(rng.sample(range(n + 1), 2))) for _ in range(rng.randint(0, 3))] if n else [])
+    doc = np.array([k for k, rs in enumerate(ranges) for _ in rs])
+    low, high = (np.array([r[i] for rs in ranges for r in rs]) for i in (0, 1))
+    for least in (1, 3):
+        d, a, b = ld.merge_ranges(doc, low, high, least)
+        want = [merged(rs, least) for rs in ranges]
+        assert list(zip(d.tolist(), a.tolist(), b.tolist(), strict=True)) == [(k, *r) for k, rs in enumerate(want) for r in rs]
+        assert ld.without(pa.array(texts), d, a, b).to_pylist() == [cut_words(t, rs) for t, rs in zip(texts, want, strict=True)]
+
+
 def brute_windows(docs, run):
     """The word ranges whose windows of ``run`` words stand earlier, by comparing all windows."""
     seen, out = set(), {}
@@ -52,7 +93,7 @@ def brute_windows(docs, run):
             if (x := tuple(w[k : k + run])) in seen:
                 found.append((k, k + run))
             seen.add(x)
-        out[i] = ld.merge_ranges(found, run)
+        out[i] = merged(found, run)
     return out
 
 

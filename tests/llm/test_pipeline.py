@@ -1,4 +1,3 @@
-import re
 import zlib
 
 import numpy as np
@@ -49,18 +48,6 @@ def test_stages_take_effect(spark, tmp_path, make, rng):
     assert corpus_pipeline.run(spark, d).count() == len(seen["packing"])
 
 
-def cut_words(text, ranges):
-    """The text without the words in the ranges and the white space after them."""
-    out = []
-    for k, m in enumerate(re.finditer(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", text)):
-        if k == 0:
-            out.append(text[: m.start()])
-        if not any(a <= k < b for a, b in ranges):
-            out.append(m.group())
-    joined = "".join(out)
-    return joined.rstrip(" \t\n\v\f\r") if ranges and ranges[-1][1] == len(brute_lines.words(text)) else joined
-
-
 def brute_pipeline(rows, items):
     """The rows that the four filtering stages leave, each by its own definition."""
     kept = []
@@ -70,7 +57,7 @@ def brute_pipeline(rows, items):
         if n >= 50 and 100 * m["n_repeat_words"] <= 50 * n and m["n_covered"] <= quality.MAX_COVERED * n and m["longest_repeat"] <= quality.MAX_LONGEST:
             kept.append((i, t))
     ranges = brute_lines.brute_windows(kept, line_dedup.RUN_WORDS)
-    kept = [(i, cut_words(t, ranges[i]) if ranges[i] else t) for i, t in kept]
+    kept = [(i, brute_lines.cut_words(t, ranges[i]) if ranges[i] else t) for i, t in kept]
     kept = [(i, t) for i, t in kept if t]
     roots = brute_near.brute_components([brute_near.brute_fingerprint(t) for _, t in kept])
     first = {}
