@@ -43,7 +43,7 @@ from ._shared import column, map_arrow, prepare, sealed, slices, table
 Q = 10
 EDIT_RATE = 0.05
 MIN_SHARED = 4
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Counts made at once.
 CHUNK = 1 << 19
 _FILTER_BITS = 22
@@ -115,7 +115,8 @@ class Items:
         maybe = np.zeros(1 << _FILTER_BITS, bool)
         maybe[(grams >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         high = pos[np.append(start[1:], len(code)) - 1] if len(start) else pos
-        return cls(np.array([i for i, _ in use]), [d for _, d in use], budget, grams_in - budget * q, grams, np.append(first, len(start)), item[start], pos[start], high, maybe, short)
+        small = lambda x: x.astype(np.int32)  # noqa: E731  a block's index takes about 24 bytes a character
+        return cls(np.array([i for i, _ in use]), [d for _, d in use], budget, grams_in - budget * q, grams, small(np.append(first, len(start))), small(item[start]), small(pos[start]), small(high), maybe, short)
 
 
 def align(item: bytes, text: bytes, budget: int, low: int, high: int) -> tuple[int, int, int] | None:

@@ -10,13 +10,20 @@ from factloom.llm import decontaminate as d
 
 def distance_within(item, text):
     """Fewest edits that turn ``item`` into some substring of ``text``."""
-    row = [0] * (len(text) + 1)
-    for i, c in enumerate(item, 1):
-        new = [i]
-        for j, t in enumerate(text, 1):
-            new.append(min(row[j - 1] + (c != t), row[j] + 1, new[j - 1] + 1))
-        row = new
-    return min(row)
+    t = np.frombuffer(text, np.uint8)
+    steps = np.arange(len(t) + 1)
+    row = np.zeros(len(t) + 1, np.int64)
+    for c in item:
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (t != c))
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row.min())
+
+
+def test_distance_by_the_textbook(rng):
+    for _ in range(100):
+        item, text = (bytes(rng.choice(b"ab") for _ in range(rng.randint(0, n))) for n in (6, 12))
+        assert distance_within(item, text) == best_on_diagonals(item, text, -len(item), len(text) + 1)
 
 
 def best_on_diagonals(item, text, low, high):

@@ -51,3 +51,11 @@ def test_repeated_null_and_empty(spark, documents):
 def test_stays_in_the_engine(spark, documents):
     plan = licenses.scan(documents([(1, "a b")]))._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_gram_has_a_mark():
+    marks = set(licenses.marks())
+    for phrase, _ in (*licenses.BASE, *licenses.OWN):
+        w = phrase.split()
+        k = licenses.SHORT if len(w) <= licenses.PHRASE_WORDS else licenses.LONG
+        assert all(marks & set(w[i : i + k]) for i in range(len(w) - k + 1))

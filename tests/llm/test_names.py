@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.llm import decontaminate, line_dedup, quality, simhash
+from factloom.llm import decontaminate, language, licenses, line_dedup, packing, quality, simhash, toxicity
 
 NAMES = ["_id", "_hash", "_ranges", "_cut", "_runs", "_spans", "_text_hash", "_text", "a.b", "c0", "c1", "key", "key2", "hash", "cut", "runs", "f_doc_id", "stay_id", "keep_text", "from", "to", "kept", "words", "old", "new", "A b`c"]
 
@@ -37,3 +37,22 @@ def test_columns_are_kept_whatever_their_names(spark, documents, make, name):
         assert values[1] == dict(rows)[values[0]]
         assert list(values[5:]) == [f"{k}-{values[0]}" for k in range(len(NAMES))]
     assert got.count() == 4
+
+
+def readers():
+    return {
+        "packing": packing.pack,
+        "fingerprints": lambda docs: simhash.near_duplicates(docs).drop("text_hash"),
+        "rules": quality.rules,
+        "licenses": licenses.scan,
+        "language": lambda docs: language.identify(docs, None),
+        "toxicity": lambda docs: toxicity.score(docs, toxicity.Model({"gnu": 1.0})),
+    }
+
+
+@pytest.mark.parametrize("name", ["packing", "fingerprints", "rules", "licenses", "language", "toxicity"])
+def test_columns_that_are_not_read_change_nothing(spark, documents, make, name):
+    docs = documents([(1, make(80) + " gnu general public license"), (2, make(90)), (2, "cc by"), (3, None)]).coalesce(1)
+    plain, more = readers()[name](docs), readers()[name](with_names(docs))
+    assert plain.columns == more.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, more.collect()))
