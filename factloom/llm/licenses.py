@@ -7,7 +7,8 @@ must have all of them on one diagonal; longer templates use 4-grams, diagonals u
 apart are merged, which bridges inserted or missing words, and a merged diagonal counts if its
 distinct template grams reach ``MIN_SHARE`` of the template within a span of ``MAX_STRETCH`` times
 its length. The templates are literals of this module, so what is broadcast has a fixed size;
-hits, which are few, are all that is shuffled besides a row per document.
+hits, which are few, are all that is shuffled besides a row per document. Words of texts that may have a
+hit are written once to the shared folder.
 
 Rows: one per document. Defined cases: null and empty texts have no words, no places, labels '' and
 score 0; null doc_ids keep their rows; repeated rows give equal rows; an empty table gives no rows;
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import prepare, table
+from ._shared import materialize, prepare, table
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Fixed values of the contract: phrase and label.
@@ -72,6 +73,16 @@ def templates(spark: SparkSession, k: int) -> DataFrame:
     return grams.select("t", "label", "base", (F.size("words") - (k - 1)).alias("n_grams"), F.size("words").alias("t_words"), "tpos", F.xxhash64(*parts).alias(f"th{k}"), *[p.alias(f"t{k}_{i}") for i, p in enumerate(parts)])
 
 
+def marks() -> list[str]:
+    """A word of every gram of every template, the longest: a text without any of them has no hit."""
+    out = set()
+    for phrase, _ in (*BASE, *OWN):
+        words = phrase.split()
+        k = SHORT if len(words) <= PHRASE_WORDS else LONG
+        out |= {max(words[i : i + k], key=lambda w: (len(w), w)) for i in range(len(words) - k + 1)}
+    return sorted(out)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: n_words, n_base, first_word, last_word, base_labels, labels, score."""
     spark = docs.sparkSession
@@ -79,7 +90,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # what a row finds depends on its text alone: rows are told apart by id and two hashes of the text
     keyed = src.select("doc_id", F.xxhash64("text").alias("key"), F.hash("text").alias("key2"), words_expr(F.col("text")).alias("words"))
     key = ["doc_id", "key", "key2"]
-    placed = keyed.where(F.size("words") >= SHORT).select(*key, "words", F.explode(F.sequence(F.lit(0), F.size("words") - SHORT)).alias("pos"))
+    # texts are split once; those without a word of any gram are passed over before their positions are laid out
+    likely = (F.size("words") >= SHORT) & F.arrays_overlap("words", F.array(*[F.lit(w) for w in marks()]))
+    keyed = materialize(keyed.select(*key, F.size("words").cast("long").alias("n_words"), F.when(likely, F.col("words")).alias("words")), "license-words")
+    placed = keyed.where("words is not null").select(*key, "words", F.explode(F.sequence(F.lit(0), F.size("words") - SHORT)).alias("pos"))
     hashed = placed.select(*key, "pos", *[p.alias(f"w{i}") for i, p in enumerate(_gram(LONG))])
     hashed = hashed.withColumn("h2", F.xxhash64("w0", "w1")).withColumn("h4", F.when(F.col("w3").isNotNull(), F.xxhash64("w0", "w1", "w2", "w3")))
 
@@ -113,7 +127,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.max("share").alias("score"),
     )
     found = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("key2").alias("_key2"), "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    rows = keyed.select(*key, F.size("words").cast("long").alias("n_words"))
+    rows = keyed.select(*key, "n_words")
     out = rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows["key"] == found["_key"]) & (rows["key2"] == found["_key2"]), "left")
     return out.select(
         "doc_id",

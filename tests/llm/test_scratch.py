@@ -9,7 +9,7 @@ from factloom.llm._shared import SETTINGS, shared_dir
 
 DATA = os.environ.get("FACTLOOM_TESTDATA", "/root/testdata/sf0.001")
 #: Scratch tables that a query's result still reads; they go when the application ends.
-LEFT = {"op1_warc_round_trip": 1, "op3_chat_quotation_linking": 2, "op4_simhash_near_dedup": 1, "op9_line_dedup": 1}
+LEFT = {"op1_warc_round_trip": 1, "op3_chat_quotation_linking": 2, "op4_simhash_near_dedup": 1, "op7_license_scan": 1, "op9_line_dedup": 1}
 
 
 def scratch(spark):
