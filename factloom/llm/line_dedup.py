@@ -128,7 +128,7 @@ def without(text: pa.Array, doc: np.ndarray, low: np.ndarray, high: np.ndarray)
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, ranges): word ranges [from, to) of each document whose windows of ``run_words`` words all stand earlier."""
+    """(doc_id, key, key2, ranges): word ranges [from, to) of each document whose windows of ``run_words`` words all stand earlier, as from * 2**32 + length."""
     src = docs.select(F.col(id_col).alias("doc_id"), *_keys(id_col, text_col), F.col(text_col).alias("text"))
     own = ["doc_id", "key", "key2"]
     schema = f"doc_id {src.schema['doc_id'].dataType.simpleString()}, key long, key2 int"
@@ -174,7 +174,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     earliest = rows.groupBy("print", "window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("print", "window", "first")
     earliest = materialize(earliest, "winnow-earliest")
     part = rows.join(earliest, ["print", "window"]).where(place != F.col("first"))
-    span = lambda n: F.struct(F.col("from"), (F.col("from") + n + F.lit(run_words - 1)).alias("to"))
+    # start and length in one number; start and end would give a set's hash (upper half xor lower half) the same value over and over
+    span = lambda n: F.shiftleft(F.col("from").cast("long"), 32) + n + F.lit(run_words - 1)
     ranges = whole.select(*own, span(F.col("windows")).alias("range")).unionByName(part.select(*own, span(F.lit(1)).alias("range")))
     found = materialize(ranges.groupBy(*own).agg(F.collect_set("range").alias("ranges")), "winnow-ranges")
     forget(hits, first, rows, earliest)
@@ -202,8 +203,8 @@ def _deduped(docs: DataFrame, id_col: str, text_col: str, gram_words: int, run_w
         own, listed = text.take(pa.array(rows)), ranges.take(pa.array(rows))
         one = listed.flatten()
         row = np.repeat(np.arange(len(rows)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
-        low, high = (one.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("from", "to"))
-        doc, low, high = merge_ranges(row, low, high, run_words)
+        low, size = np.divmod(one.to_numpy(zero_copy_only=False).astype(np.int64), 1 << 32)
+        doc, low, high = merge_ranges(row, low, low + size, run_words)
         cut = without(own, doc, low, high)
         sizes = np.append(0, np.cumsum(np.bincount(doc, minlength=len(rows)))).astype(np.int32)
         pairs = pa.StructArray.from_arrays([pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["from", "to"])
