@@ -6,6 +6,8 @@ when it was given up. A null invalid_at is a fact that still holds.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,17 +181,20 @@ def alerts(metrics: DataFrame, fast_max: float = 5, generic_max: int = 3) -> Dat
 
 
 def costs(usage: DataFrame, prices: DataFrame, since: Column | None = None) -> DataFrame:
-    """Usage rows with the price of the lower-cased model, else of the model as written, else 0; usd as a decimal. A model listed twice has its lowest price."""
+    """Usage rows with the price of the lower-cased model, else of the model as written, else 0; usd as an exact decimal, whose twelfth place is the last that a price a million tokens can reach. A model listed twice has its lowest price."""
     if since is not None:
         usage = usage.where(F.col("ts") >= since)
-    p = prices.select("model", F.col("usd_in").cast("decimal(18,6)").alias("usd_in"), F.col("usd_out").cast("decimal(18,6)").alias("usd_out"))
+    # a division would leave six places of a row's cost; the price of one token has room for all of them, and so has its product with a long
+    each = lambda c: (F.col(c).cast("decimal(18,6)") * F.lit(Decimal("0.000001"))).cast("decimal(18,12)")
+    p = prices.select("model", each("usd_in").alias("usd_in"), each("usd_out").alias("usd_out"))
     p = p.groupBy("model").agg(F.min("usd_in").alias("usd_in"), F.min("usd_out").alias("usd_out"))
     low = p.select(F.col("model").alias("m1"), F.col("usd_in").alias("in1"), F.col("usd_out").alias("out1"))
     exact = p.select(F.col("model").alias("m2"), F.col("usd_in").alias("in2"), F.col("usd_out").alias("out2"))
     priced = usage.join(low, F.lower("model") == F.col("m1"), "left").join(exact, F.col("model") == F.col("m2"), "left")
-    zero = F.lit(0).cast("decimal(18,6)")
-    usd = F.col("in") * F.coalesce("in1", "in2", zero) + F.col("out") * F.coalesce("out1", "out2", zero)
-    return priced.select(*usage.columns, (usd / 1_000_000).cast("decimal(28,9)").alias("usd"))
+    zero = F.lit(0).cast("decimal(18,12)")
+    cost = lambda n, *price: (F.col(n).cast("decimal(19,0)") * F.coalesce(*price, zero)).cast("decimal(30,12)")
+    usd = cost("in", "in1", "in2") + cost("out", "out1", "out2")
+    return priced.select(*usage.columns, usd.cast("decimal(31,12)").alias("usd"))
 
 
 def cost_by(usage_costs: DataFrame, key: str) -> DataFrame:
