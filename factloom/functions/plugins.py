@@ -43,8 +43,8 @@ def embedder(embed: Callable[[list[str]], np.ndarray] = embed_texts, batch: int
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             values = s.fillna("").tolist()
-            parts = [embed(values[k : k + batch]) for k in range(0, len(values), batch)]
-            yield pd.Series([row.tolist() for part in parts for row in part])
+            parts = [np.asarray(embed(values[k : k + batch]), np.float32) for k in range(0, len(values), batch)]
+            yield pd.Series([row for part in parts for row in part], dtype=object)  # rows stay arrays, as a list has an object a number
 
     return run
 

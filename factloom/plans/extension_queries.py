@@ -65,10 +65,11 @@ def session_digests(spark, d):
 
 
 def embedded_names(spark, d):
-    rows = table(spark, d, "part").select("p_partkey", plugins.embedder()(F.col("p_name")).alias("e"))
-    again = table(spark, d, "part").select(F.col("p_partkey").alias("k"), plugins.embedder(batch=3)(F.col("p_name")).alias("f"))
+    """Both embeddings of a name are taken in one pass: a join of them would move, or broadcast, a vector a row. Names are dealt out first, as they are few bytes and much work."""
+    names = table(spark, d, "part").select("p_partkey", "p_name").repartition("p_partkey")
+    rows = names.select("p_partkey", plugins.embedder()(F.col("p_name")).alias("e"), plugins.embedder(batch=3)(F.col("p_name")).alias("f"))
     norm = F.round(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x), 4)
-    return rows.join(again, rows["p_partkey"] == again["k"]).select("p_partkey", F.size("e").alias("size"), norm.alias("norm"), (F.col("e") == F.col("f")).alias("same_in_other_batches"))
+    return rows.select("p_partkey", F.size("e").alias("size"), norm.alias("norm"), (F.col("e") == F.col("f")).alias("same_in_other_batches"))
 
 
 def extension_registry(spark, d):
