@@ -32,6 +32,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` checkpointed in spark.checkpoint.dir."""
     context = df.sparkSession.sparkContext

@@ -271,7 +271,7 @@ def load_redone(spark, d):
 
 
 def load_batches(spark, d):
-    """Batches of about 30 names, one of which fails in the first run; the second run takes it up."""
+    """Batches of about 30 names, eight at a time, one of which fails in the first run; the second run takes it up."""
     root = scratch_path(spark, "batches")
     names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("name"))
     write = _target(f"{root}/target")
@@ -281,8 +281,8 @@ def load_batches(spark, d):
             raise ValueError("this one fails")
         write(rows, run)
 
-    first = inc.load_in_batches(names, fails, f"{root}/state", 30)
-    again = inc.load_in_batches(names, write, f"{root}/state", 30)
+    first = inc.load_in_batches(names, fails, f"{root}/state", 30, workers=8)
+    again = inc.load_in_batches(names, write, f"{root}/state", 30, workers=8)
     failed = [b for b in first if b[2]]
     row = (sum(n for _, n, e in first if not e) + sum(n for _, n, _ in failed), len(failed), failed[0][2], sum(n for _, n, _ in again) == sum(n for _, n, _ in failed))
     held = spark.read.parquet(f"{root}/target").agg(F.count("*").alias("held"))

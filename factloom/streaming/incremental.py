@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.lineage import in_blocks
+from ..functions.lineage import drop_path, in_blocks, scratch_path
 
 
 def new_items(items: DataFrame, *states: DataFrame, key: str = "name", offset: int = 0, limit: int | None = None) -> DataFrame:
@@ -80,20 +84,71 @@ def compact_state(spark: SparkSession, state_path: str, key: str = "name") -> No
         fs.rename(path(fresh), path(state_path))
 
 
-def load_in_batches(items: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, size: int = 12, key: str = "name") -> list[tuple[int, int, str | None]]:
-    """(batch, items, error) of each batch of about ``size`` new items. A batch that fails is reported and not committed, and the next one is loaded; a rerun takes it up again."""
+def load_in_batches(items: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, size: int = 12, key: str = "name", workers: int = 1) -> list[tuple[int, int, str | None]]:
+    """(batch, items, error) of each batch of about ``size`` new items. A batch that fails is reported and not committed, and the next one is loaded; a rerun takes it up again.
+
+    What is new is found once, under a lock that is held to the end, and staged in a folder a batch, so that a batch costs
+    the same however many there are. ``workers``: batches that are loaded at a time, from as many threads; ``load`` must
+    allow for that. Names are committed after their batch's load, those of batches that end together in one write. If
+    the process dies, up to ``workers`` batches are loaded and not committed, and come again in batches with other ids.
+    """
     spark = items.sparkSession
-    new = new_items(items, loaded(spark, state_path, key), key=key)
-    batches = -(-new.count() // size)
-    number = F.pmod(F.xxhash64(key), F.lit(max(1, batches)))
-    out = []
-    for b in range(batches):
-        part = new.where(number == b)
+    with single_writer(spark, state_path):
+        new = new_items(items, loaded(spark, state_path, key), key=key).dropDuplicates([key]).persist()
+        staged = scratch_path(spark, "new-items")
         try:
-            out.append((b, load_batch(part, load, state_path, key), None))
-        except Exception as e:
-            out.append((b, part.count(), f"{type(e).__name__}: {e}".splitlines()[0][:200]))
-    return out
+            batches = -(-new.count() // size)
+            numbered = new.withColumn("_batch", F.pmod(F.xxhash64(key), F.lit(max(1, batches))))
+            runs = {r["_batch"]: r for r in numbered.groupBy("_batch").agg(F.count("*").alias("n"), F.hex(F.bit_xor(F.xxhash64(key))).alias("id")).collect()}  # a row a batch
+            if batches:
+                numbered.repartition("_batch").write.partitionBy("_batch").parquet(staged)
+            new.unpersist()
+            commit = _Commits(lambda some: _rows_of(spark, items, staged, some).select(F.col(key).cast("string").alias(key)).coalesce(1 + sum(runs[b].n for b in some) // 1_000_000).write.mode("append").parquet(state_path))
+
+            def one(b: int) -> tuple[int, int, str | None]:
+                if b not in runs:
+                    return b, 0, None
+                try:
+                    load(_rows_of(spark, items, staged, [b]), f"{runs[b].id}-{runs[b].n}")
+                    commit(b)
+                    return b, runs[b].n, None
+                except Exception as e:
+                    return b, runs[b].n, f"{type(e).__name__}: {e}".splitlines()[0][:200]
+
+            if workers == 1:
+                return [one(b) for b in range(batches)]
+            pool = ThreadPoolExecutor(workers)
+            try:
+                return list(pool.map(inheritable_thread_target(spark)(one), range(batches)))
+            finally:
+                pool.shutdown(cancel_futures=True)
+        finally:
+            new.unpersist()
+            drop_path(spark, staged)
+
+
+def _rows_of(spark: SparkSession, items: DataFrame, staged: str, batches: list[int]) -> DataFrame:
+    return spark.read.schema(items.schema).parquet(*[f"{staged}/_batch={b}" for b in batches])
+
+
+class _Commits:
+    """Commits from several threads: one writes at a time, and what came in the meantime goes with the next write."""
+
+    def __init__(self, write: Callable[[list[int]], None]):
+        self.write, self.turn, self.waiting, self.outcome = write, Lock(), deque(), {}
+
+    def __call__(self, batch: int) -> None:
+        self.waiting.append(batch)
+        with self.turn:
+            if batch not in self.outcome:  # else another one's write had it
+                some = [self.waiting.popleft() for _ in range(len(self.waiting))]
+                try:
+                    self.write(some)
+                    self.outcome |= dict.fromkeys(some)
+                except Exception as e:
+                    self.outcome |= dict.fromkeys(some, e)
+        if self.outcome[batch] is not None:
+            raise self.outcome[batch]
 
 
 def incremental_load(source: DataFrame, load: Callable[[DataFrame, str], None], state_path: str, checkpoint: str, key: str = "name") -> StreamingQuery:
